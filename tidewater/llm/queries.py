@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, mixing, quality, simhash, token_shards
+from tidewater.llm import decontaminate, embedding_links, mixing, quality, simhash, token_shards, warc
 
 END_ID = 2
 
@@ -20,6 +20,10 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.encode_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), tokenizer_path(), END_ID)
 
 
+def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links.link_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -39,6 +43,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(docs, benchmark)
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), min_bytes=0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -47,10 +55,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_shards": op1_token_shards,
+    "op2_embedding_links": op2_embedding_links,
     "op3_mix_sources": op3_mix_sources,
     "op4_quality": op4_quality,
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,
+    "op7_warc": op7_warc,
     "pipeline": pipeline,
 }
 
