@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, embedding_links, mixing, quality, simhash, token_shards, warc
+from tidewater.llm import decontaminate, embedding_links, lm_scoring, mixing, quality, simhash, token_shards, toxicity, warc
 
 END_ID = 2
 
@@ -47,6 +47,15 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"), min_bytes=0)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{x}.parquet") for x in ("documents", "labels"))
+    return toxicity.score_toxicity(docs, labels).drop("passages")
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -61,6 +70,8 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_decontaminate": op6_decontaminate,
     "op7_warc": op7_warc,
+    "op8_toxicity": op8_toxicity,
+    "op10_lm_scoring": op10_lm_scoring,
     "pipeline": pipeline,
 }
 
