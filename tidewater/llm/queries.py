@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, embedding_links, lm_scoring, mixing, quality, simhash, token_shards, toxicity, warc
+from tidewater.llm import decontaminate, embedding_links, lm_scoring, mixing, quality, simhash, suffix_dedup, token_shards, toxicity, warc
 
 END_ID = 2
 
@@ -52,6 +52,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, labels).drop("passages")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op6_decontaminate": op6_decontaminate,
     "op7_warc": op7_warc,
     "op8_toxicity": op8_toxicity,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lm_scoring": op10_lm_scoring,
     "pipeline": pipeline,
 }
