@@ -25,3 +25,10 @@ def write_blobs(df: DataFrame, column: str, path: str, trailer: str) -> None:
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
     """Column content, one row a file; the empty files of empty tasks are left out."""
     return spark.read.format("binaryFile").load(path).where("length > 0").select("content")
+
+
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts reach Python at most ``rows`` at a time, in this session, unless it already asks for fewer."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)

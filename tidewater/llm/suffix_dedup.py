@@ -41,11 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidewater.llm.blobs import bound_batches
 from tidewater.workspace import Workspace, tasks_for
 
 GRAM = 24
 _PLACE = 24
-_CHUNK = 6 << 20
+#: Bytes of text hashed at once; a task holds about fifteen times as much.
+_CHUNK = 2 << 20
 _rng = np.random.default_rng(20)
 _CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -417,6 +419,7 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
 def remove_repeats(docs: DataFrame, length: int = 100, split_over: int = 20_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (byte ranges removed), one row per row of docs."""
     spark = docs.sparkSession
+    bound_batches(spark)
     space = Workspace(spark, "repeats")
     rows, plain = _keyed(docs)
     texts = rows.select("key", "text")
