@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.blobs import bound_batches
+
 WINDOW = 10
 _WORDS = bytes(
     x + 32 if 0x41 <= x <= 0x5A else x if x >= 0x80 or 0x30 <= x <= 0x39 or 0x61 <= x <= 0x7A else 0x20 for x in range(256)
@@ -148,6 +150,7 @@ def _digest(held, window: int):
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 2 << 20) -> DataFrame:
     """One row per document: words, words inside benchmark windows, items found and a digest of their ids."""
+    bound_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     none = F.lit(None)
     state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", none.cast("binary").alias("mask"), none.cast("array<string>").alias("items"))
@@ -159,6 +162,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_byte
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 2 << 20) -> DataFrame:
     """The rows of docs in whose text no benchmark window occurs, all columns as they were."""
+    bound_batches(docs.sparkSession)
     context, place = docs.sparkSession.sparkContext, docs.columns.index("text")
 
     def clean(held):

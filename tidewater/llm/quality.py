@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.blobs import bound_batches
 from tidewater.workspace import Workspace
 
 BINS = 24
@@ -97,7 +98,7 @@ def _features(docs: DataFrame, labels: DataFrame, learn: str) -> DataFrame:
             bins = [a + bytes(b) for a, b in zip(own, batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bins, pa.binary())], ["doc_id", "bins"])
 
-    assert n + len(METADATA) < 256
+    bound_batches(docs.sparkSession)
     facts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.array(*[x.cast("int") for x in _metadata_columns()]).alias("facts"))
     rows = facts.mapInArrow(run, "doc_id long, bins binary")
     known = labels.where("quality in (0, 1) and doc_id is not null").where(learn).groupBy(F.col("doc_id").cast("long").alias("of")).agg(F.min("quality").alias("label"))

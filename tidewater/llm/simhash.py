@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.llm.blobs import bound_batches
 from tidewater.operators.graph import connected_components
 from tidewater.workspace import Workspace
 
@@ -54,6 +55,8 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id and fp (the fingerprint's bits as a signed long), one row per row of docs."""
 
+    bound_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             found = [fingerprint(x.as_py(), shingle) for x in batch.column(1)]

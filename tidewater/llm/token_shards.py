@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewater.llm.blobs import read_blobs, write_blobs
+from tidewater.llm.blobs import bound_batches, read_blobs, write_blobs
 from tidewater.llm.elias_fano import EliasFano
 from tidewater.workspace import Workspace, tasks_for
 
@@ -156,6 +156,7 @@ def read_token_index(spark: SparkSession, path: str) -> DataFrame:
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """Write the shards of docs into the shared folder and return the index read back from them."""
     spark = docs.sparkSession
+    bound_batches(spark)
     path = Workspace(spark, "token-shards").path("ids")
     write_token_shards(docs, path, tokenizer, end_id)
     return read_token_index(spark, path)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.blobs import read_blobs, write_blobs
+from tidewater.llm.blobs import bound_batches, read_blobs, write_blobs
 from tidewater.workspace import Workspace
 
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"
@@ -166,6 +166,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Write the archives of pages into the shared folder and return the records read back from them."""
     spark = pages.sparkSession
+    bound_batches(spark)
     path = Workspace(spark, "warc").path("archives")
     write_archives(pages, path, min_bytes)
     return read_archives(spark, path)
