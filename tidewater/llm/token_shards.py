@@ -32,7 +32,8 @@ MAGIC, TRAILER = b"TIDEIDS1", "TIDE-END"
 _HEAD = struct.Struct("<8sIQQQQqQ")
 #: Where the split at single spaces could divide a run of white space that the tokenizer takes as one piece.
 _RUN = re.compile(r"\s\s(?:\s|\Z)|[\x1c-\x1f]")
-_MEMO_ENTRIES = 400_000
+#: Words remembered as met once, and as met again, by each task.
+_MEMO_ENTRIES = 120_000
 
 
 class Encoder:
@@ -50,31 +51,52 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype, self.memo = dtype, {}
+        self.dtype, self.memo, self.young, self.sizes = dtype, {}, {}, None
         pre = self.tokenizer.pre_tokenizer
         self.separable = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in str(pre) and "use_regex=True" in str(pre)
 
-    def _pieces(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _parts(self, words: list[str]) -> list[bytes]:
+        """What each word encodes to after a space, by encoding them in one text and cutting its ids by their bytes."""
+        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, self.dtype)
+        if self.sizes is None:
+            vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+            self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
+            for token, k in vocab.items():  # a byte-level token has one character for each byte
+                self.sizes[k] = len(token)
+        reached = np.cumsum(self.sizes[ids])
+        wanted = np.cumsum([len(x.encode("utf-8", "surrogatepass")) + 1 for x in words])
+        cuts = [0, *(np.searchsorted(reached, wanted) + 1).tolist()]
+        width, data = ids.itemsize, ids.tobytes()
+        return [data[width * a : width * b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.separable or _RUN.search(text):
-            return self._pieces([text])[0]
+            return self._whole(text)
         first, *rest = text.split(" ")
-        memo = self.memo
+        memo, young = self.memo, self.young
         try:
             out = b"".join(map(memo.__getitem__, rest))
         except KeyError:
             new = [x for x in set(rest) if x not in memo]
-            if len(memo) + len(new) > _MEMO_ENTRIES:
+            own = {x: young.pop(x) for x in new if x in young}
+            if len(memo) + len(own) > _MEMO_ENTRIES:
                 memo.clear()
                 new = list(set(rest))
-            memo.update(zip(new, self._pieces([" " + x for x in new])))
-            out = b"".join(map(memo.__getitem__, rest))
-        return (self._pieces([first])[0] if first else b"") + out
+            memo.update(own)  # met for the second time
+            new = [x for x in new if x not in own]
+            plain = [x for x in new if x and not x[0].isspace() and not x[-1].isspace()]
+            once = dict(zip(plain, self._parts(plain))) if plain else {}
+            once.update((x, self._whole(" " + x)) for x in new if x not in once)
+            if len(young) + len(once) > _MEMO_ENTRIES:
+                young.clear()
+            young.update(once)
+            out = b"".join([memo[x] if x in memo else once[x] for x in rest])
+        return (self._whole(first) if first else b"") + out
 
 
 def _shard(width: int, part: int, seq: int, ids: list[int | None], ends: list[int], data: list[bytes]) -> bytes:
@@ -86,7 +108,7 @@ def _shard(width: int, part: int, seq: int, ids: list[int | None], ends: list[in
 
 
 def write_token_shards(
-    docs: DataFrame, path: str, tokenizer: str, end_id: int, vocab: int = 50_257, shard_ids: int = 6_000_000
+    docs: DataFrame, path: str, tokenizer: str, end_id: int, vocab: int = 50_257, shard_ids: int = 3_000_000
 ) -> None:
     """Encode every text of docs (doc_id, text) and write shards of about shard_ids ids, each held in memory once."""
     width = 2 if vocab <= 1 << 16 else 4
