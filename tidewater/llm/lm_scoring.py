@@ -272,7 +272,12 @@ def score_documents(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     counted, _ = space.table(texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
     total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counted.orderBy(F.desc("n"), "word").limit(heads).collect()  # at most `heads` words
+    # words in steps of a sixteenth of an octave of their count; whole steps from the top, as far as they hold at most `heads`
+    step_of = F.floor(F.log2("n") * 16).cast("int")
+    sizes = sorted(((x.step, x.size) for x in counted.groupBy(step_of.alias("step")).agg(F.count("*").alias("size")).collect()), reverse=True)
+    within = [k for k, size in zip([k for k, _ in sizes], np.cumsum([size for _, size in sizes])) if size <= heads]
+    top = counted.where(step_of >= within[-1]).collect() if within else []
+    top.sort(key=lambda x: (-x.n, bytes(x.word)))
     order = [bytes(x.word) for x in top]
     counts = np.array([x.n for x in top], np.float64)
     if END not in order[:vocab]:
