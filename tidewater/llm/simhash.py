@@ -151,6 +151,7 @@ def keep_one(docs: DataFrame, within: int = 2) -> DataFrame:
     marks, _ = space.table(near_duplicates(docs, within), "components")
     stay = marks.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("times"))
     stay, _ = space.table(stay, "stay")
-    kept = docs.alias("d").join(stay.alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
+    # merged at every size: the same plan, hence the same growth, with few documents as with many
+    kept = docs.alias("d").join(stay.hint("merge").alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
     repeated = stay.where("times > 1 and doc_id is not null").limit(1).count()
     return kept.dropDuplicates(["doc_id"]) if repeated else kept
