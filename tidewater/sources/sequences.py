@@ -21,7 +21,7 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
     """file, place of the line in its file, and value."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("place", "value"))
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("place", "value"))
     return lines.withColumn("value", F.regexp_replace("value", "\r$", ""))
 
 
