@@ -280,11 +280,9 @@ def score_documents(
     top.sort(key=lambda x: (-x.n, bytes(x.word)))
     order = [bytes(x.word) for x in top]
     counts = np.array([x.n for x in top], np.float64)
-    if END not in order[:vocab]:
-        at = order.index(END) if END in order else None
-        own = counts[at] if at is not None else 0.0
-        order = [END] + [w for w in order if w != END]
-        counts = np.append(own, np.delete(counts, at) if at is not None else counts)
+    ends = counted.where(F.col("word") == F.lit(END)).collect()
+    rest = [k for k, w in enumerate(order) if w != END]
+    order, counts = [END, *(order[k] for k in rest)], np.append(float(ends[0].n) if ends else 0.0, counts[rest])
     mass, symbols = total + 0.1 * (distinct + 1), min(vocab, len(order))
     rest_mass = mass - (counts[:symbols] + 0.1).sum()
     shares = np.append(counts[:symbols] + 0.1, max(rest_mass, 0.1)) / mass
