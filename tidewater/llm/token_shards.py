@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ MAGIC, TRAILER = b"TIDEIDS1", "TIDE-END"
 _HEAD = struct.Struct("<8sIQQQQqQ")
 #: Where the split at single spaces could divide a run of white space that the tokenizer takes as one piece.
 _RUN = re.compile(r"\s\s(?:\s|\Z)|[\x1c-\x1f]")
-#: Words remembered as met once, and as met again, by each task.
-_MEMO_ENTRIES = 120_000
+#: Words remembered by each task, characters of text encoded together, and words in one call of the tokenizer.
+_MEMO_ENTRIES, _GROUP_CHARS, _CALL_WORDS = 400_000, 1 << 22, 100
 
 
 class Encoder:
@@ -51,52 +52,78 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.dtype, self.memo, self.young, self.sizes = dtype, {}, {}, None
+        self.dtype, self.memo, self.sizes = dtype, {}, None
         pre = self.tokenizer.pre_tokenizer
         self.separable = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in str(pre) and "use_regex=True" in str(pre)
+        self.by_word = None
+        if self.separable:  # for new words: ids alone, so no offsets to trim, and no second memo of words
+            self.by_word = Tokenizer.from_file(path)
+            self.by_word.encode_special_tokens = True
+            self.by_word.post_processor = None
+            self.by_word.model._resize_cache(0)
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _parts(self, words: list[str]) -> list[bytes]:
-        """What each word encodes to after a space, by encoding them in one text and cutting its ids by their bytes."""
-        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, self.dtype)
+    def _parts(self, words: list[str]) -> dict[str, bytes]:
+        """What each word encodes to after a space, by encoding many in one text and cutting its ids by their bytes."""
         if self.sizes is None:
             vocab = self.tokenizer.get_vocab(with_added_tokens=True)
             self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
             for token, k in vocab.items():  # a byte-level token has one character for each byte
                 self.sizes[k] = len(token)
+        texts = (" " + " ".join(words[k : k + _CALL_WORDS]) for k in range(0, len(words), _CALL_WORDS))
+        found = (self.by_word.encode_batch_fast([x], add_special_tokens=False)[0].ids for x in texts)
+        ids = np.fromiter(chain.from_iterable(found), self.dtype)
         reached = np.cumsum(self.sizes[ids])
-        wanted = np.cumsum([len(x.encode("utf-8", "surrogatepass")) + 1 for x in words])
-        cuts = [0, *(np.searchsorted(reached, wanted) + 1).tolist()]
-        width, data = ids.itemsize, ids.tobytes()
-        return [data[width * a : width * b] for a, b in zip(cuts, cuts[1:])]
+        wanted = np.cumsum([(len(x) if x.isascii() else len(x.encode("utf-8", "surrogatepass"))) + 1 for x in words])
+        cuts = (ids.itemsize * (np.searchsorted(reached, wanted) + 1)).tolist()
+        data = ids.tobytes()
+        return {x: data[a:b] for x, a, b in zip(words, [0, *cuts], cuts)}
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The id bytes of each text; words that are new to the memo are encoded once for all texts."""
+        if not self.separable:
+            return [self._whole(x) if x else b"" for x in texts]
+        parts: list[list[str] | None] = [x.split(" ") for x in texts]
+        used = set().union(*parts)
+        odd = {x for x in used if not x or x != x.strip() or _RUN.search(x)}  # no run of white space is without one of these
+        whole = [k for k, x in enumerate(texts) if odd and not odd.isdisjoint(parts[k]) and _RUN.search(x)]
+        for k in whole:
+            parts[k] = None
+        if whole:
+            used = set().union(*(x for x in parts if x))
+        memo = self.memo
+        new = used - memo.keys()
+        if len(memo) + len(new) > _MEMO_ENTRIES:
+            memo = self.memo = {x: memo[x] for x in used - new}
+        plain = list(new - odd)
+        if plain:
+            memo.update(self._parts(plain))
+        memo.update((x, self._whole(" " + x)) for x in new & odd)
+        known = memo.__getitem__
+        return [
+            (self._whole(x) if x else b"") if own is None else (self._whole(own[0]) if own[0] else b"") + b"".join(map(known, own[1:]))
+            for x, own in zip(texts, parts)
+        ]
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.separable or _RUN.search(text):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        memo, young = self.memo, self.young
-        try:
-            out = b"".join(map(memo.__getitem__, rest))
-        except KeyError:
-            new = [x for x in set(rest) if x not in memo]
-            own = {x: young.pop(x) for x in new if x in young}
-            if len(memo) + len(own) > _MEMO_ENTRIES:
-                memo.clear()
-                new = list(set(rest))
-            memo.update(own)  # met for the second time
-            new = [x for x in new if x not in own]
-            plain = [x for x in new if x and not x[0].isspace() and not x[-1].isspace()]
-            once = dict(zip(plain, self._parts(plain))) if plain else {}
-            once.update((x, self._whole(" " + x)) for x in new if x not in once)
-            if len(young) + len(once) > _MEMO_ENTRIES:
-                young.clear()
-            young.update(once)
-            out = b"".join([memo[x] if x in memo else once[x] for x in rest])
-        return (self._whole(first) if first else b"") + out
+        return self.encode_all([text])[0]
+
+
+def _groups(batches):
+    """(doc_ids, texts) of the rows in order, about _GROUP_CHARS characters at a time."""
+    ids, texts, chars = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids.append(doc_id)
+            texts.append(text.as_py())
+            chars += len(texts[-1]) + 1
+            if chars >= _GROUP_CHARS:
+                yield ids, texts
+                ids, texts, chars = [], [], 0
+    if ids:
+        yield ids, texts
 
 
 def _shard(width: int, part: int, seq: int, ids: list[int | None], ends: list[int], data: list[bytes]) -> bytes:
@@ -118,9 +145,9 @@ def write_token_shards(
     def run(batches):
         encoder, part = Encoder(tokenizer, dtype), TaskContext.get().partitionId()
         seq, total, ids, ends, data = 0, 0, [], [], []
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                one = encoder.encode(text.as_py()) + end
+        for held, texts in _groups(batches):
+            for doc_id, one in zip(held, encoder.encode_all(texts)):
+                one += end
                 ids.append(doc_id)
                 data.append(one)
                 total += len(one) // width
