@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import scalars as S
 from tidewater.operators import ranking, rounds, taxonomy
 from tidewater.operators.graph import connected_components
-from tidewater.plans import adapters
+from tidewater.plans import adapters, evidence
 
 PLANS = {
     # filters
@@ -117,6 +117,7 @@ PLANS = {
     "o01_key_unique": "SELECT l_orderkey AS read_id, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1",
     "o03_functional_dependency": "SELECT genus, count(DISTINCT family) AS n FROM lineage GROUP BY genus HAVING count(DISTINCT family) > 1",
     "o06_stage_order": "SELECT count(*) AS total, count(m.read_id) AS on_target, count(*) >= count(m.read_id) AS sound FROM orders o LEFT JOIN (SELECT DISTINCT read_id FROM members) m ON o.o_orderkey = m.read_id",
+    **evidence.PLANS,
 }
 
 
