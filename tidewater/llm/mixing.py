@@ -11,7 +11,8 @@ Without explicit weights the target of a source is its share to the power
 and leave the mix.
 
 A mean above STEP is drawn as a sum of equal smaller Poisson draws, so the table of
-limits that is inverted has the same length at any rate up to ``most_rate``.
+limits that is inverted has the same length at any rate. The default weights serve
+every rate, however small a source's share; explicit weights are bound by ``most_rate``.
 
 Defined cases: null sources form one source of their own; a null doc_id draws by
 its text; a null or empty text counts zero characters and, where a whole source is
@@ -73,11 +74,11 @@ def mix(
 ) -> DataFrame:
     """docs replicated towards the target weights and globally shuffled, with copy, repetition_rate and shuffle_key.
 
-    A rate above most_rate raises an error, since such a source cannot fill its target by repetition in good sense.
+    With explicit weights, a rate above most_rate raises an error, since such a source cannot fill its target by repetition in good sense.
     """
     rates = source_rates(docs, weights, temper, epochs)
     count, highest = rates.agg(F.count("*"), F.max("rate")).first()
-    if highest is not None and highest > most_rate:
+    if weights is not None and highest is not None and highest > most_rate:
         raise ValueError(f"a source would be repeated {highest} times; the limit is {most_rate}")
     rates = F.broadcast(rates) if count <= most_sources else rates
     named = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
