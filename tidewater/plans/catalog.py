@@ -172,6 +172,12 @@ def k07_components(spark, sf_dir):
     return connected_components(edges.select(F.col("l_orderkey").alias("src"), (-F.col("l_partkey")).alias("dst")))
 
 
+def k07_components_all(spark, sf_dir):
+    """Components over every lineitem edge; SQL's recursive closure cannot hold them, so tests compare with union-find."""
+    edges = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return connected_components(edges.select(F.col("l_orderkey").alias("src"), (-F.col("l_partkey")).alias("dst")))
+
+
 def l05_freeze_promotion(spark, sf_dir):
     sized = _view(spark, sf_dir, "sized").groupBy("otu", "round").agg(F.sum("n").alias("n"))
     return rounds.promotions(sized, ["otu"], "n")
@@ -214,3 +220,5 @@ BUILT = {
 
 QUERIES = {**{k: _plan(v) for k, v in PLANS.items()}, **{k: f for k, (f, _) in BUILT.items()}}
 ORACLES = {**{k: adapters.duckdb(v) for k, v in PLANS.items()}, **{k: sql if sql.startswith("WITH") else adapters.duckdb(sql) for k, (_, sql) in BUILT.items()}}
+#: Queries without SQL of their own.
+WHOLE = {"k07_components_all": k07_components_all}
