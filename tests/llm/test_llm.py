@@ -241,29 +241,6 @@ def test_maximal_repeats():
     assert sorted(suffix_dedup.maximal_repeats(data, 3)) == [(3, [1, 6, 11]), (4, [1, 6])]
 
 
-def test_lm_scores(spark, odd):
-    from tidewater.llm import lm_scoring
-
-    rng = random.Random(11)
-    docs = [(k, " ".join(f"{'ab'[k % 2]}{rng.randrange(30)}" for _ in range(120)) + f" rare{k}") for k in range(300)]
-    got = lm_scoring.score_documents(spark.createDataFrame(docs, "doc_id long, text string"), heads=40, vocab=30, rate=0.5).collect()
-    counts: dict = {}
-    for k, text in docs:
-        if zlib.crc32(str(k).encode()) % 10:
-            for w in text.lower().split() + ["\n"]:
-                counts[w] = counts.get(w, 0) + 1
-    total, distinct = sum(counts.values()), len(counts)
-    texts = dict(docs)
-    for x in got:
-        words = texts[x.doc_id].lower().split() + ["\n"]
-        base = sum(np.log10((counts.get(w, 0) + 0.1) / (total + 0.1 * (distinct + 1))) for w in words)
-        assert x.base_score == pytest.approx(base) and x.train_tokens == total
-        assert (x.n_tokens, x.n_known) == (len(words), sum(w in counts for w in words))
-    assert np.mean([x.score - x.base_score for x in got if x.held_out]) > 0
-    assert lm_scoring.score_documents(odd).count() == len(ODD)
-    assert lm_scoring.score_documents(odd.limit(0)).count() == 0
-
-
 def test_lm_tables_are_normalised():
     from tidewater.llm.lm_scoring import Model
 
