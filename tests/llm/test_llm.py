@@ -36,7 +36,6 @@ def test_encoder_equals_the_library():
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer_path())
-    plain.encode_special_tokens = True
     own = token_shards.Encoder(tokenizer_path(), "<u2")
     rng, parts = random.Random(4), [" ", "  ", "\n", "\t", "a", "b.", "'s", "é1", "ñ", " the", "<|endoftext|>", "漢"]
     for _ in range(3000):
@@ -44,6 +43,36 @@ def test_encoder_equals_the_library():
         assert own.encode(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u2").tobytes(), repr(text)
 
 
+def test_encoder_takes_added_tokens_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    plain, own = Tokenizer.from_file(tokenizer_path()), token_shards.Encoder(tokenizer_path(), "<u2")
+    added = [x.content for x in plain.get_added_tokens_decoder().values()]
+    assert added
+    texts = ["plain words", *(form.format(x) for x in added for form in ("{0}", "hello {0} world", "a{0}b", "{0}{0} c", " {0}", "{0}\n\n x"))]
+    want = [np.array(plain.encode(x, add_special_tokens=False).ids, "<u2").tobytes() for x in texts]
+    assert own.encode_all(texts) == want
+    assert [own.encode(x) for x in texts] == want
+
+
+def test_token_shards_of_many_files_a_task(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    plain, rng = Tokenizer.from_file(tokenizer_path()), random.Random(3)
+    rows = [(k * 3 - 50, " ".join(f"w{rng.randrange(99)}" for _ in range(rng.randrange(40)))) for k in range(700)] + [(None, "x"), (None, None)]
+    token_shards.write_token_shards(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "ids"), tokenizer_path(), 2, shard_ids=500)
+    got = sorted(token_shards.read_token_index(spark, str(tmp_path / "ids")).collect(), key=lambda x: x.start)
+    assert len({x.shard for x in got}) > 8
+    at = 0
+    for x, (doc_id, n) in zip(got, [(None, None)] * 2 + sorted((k, t) for k, t in rows if k is not None)):
+        assert (x.doc_id, x.start) == (doc_id, at)
+        if doc_id is not None:
+            ids = np.array(plain.encode(n, add_special_tokens=False).ids + [2], "<u4")
+            assert (x.n_tokens, x.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
+        at += x.n_tokens
+    assert len(got) == len(rows)
+
+
 def test_token_shards_round_trip(spark, odd):
     from tokenizers import Tokenizer
 

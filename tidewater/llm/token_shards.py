@@ -43,22 +43,23 @@ class Encoder:
     The byte-level pattern never joins characters across a single space but for
     the space itself, which opens the next piece; so a text without longer runs
     of white space is encoded part by part, each part with its leading space.
-    Other texts go to the tokenizer whole. ``separable`` says whether the
-    tokenizer has that pattern; others get whole texts only.
+    Other texts, and those that hold one of the tokenizer's added tokens, go to the
+    tokenizer whole. ``separable`` says whether the tokenizer has that pattern;
+    others get whole texts only.
     """
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype, self.memo, self.sizes = dtype, {}, None
         pre = self.tokenizer.pre_tokenizer
         self.separable = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in str(pre) and "use_regex=True" in str(pre)
+        added = sorted(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.by_word = None
         if self.separable:  # for new words: ids alone, so no offsets to trim, and no second memo of words
             self.by_word = Tokenizer.from_file(path)
-            self.by_word.encode_special_tokens = True
             self.by_word.post_processor = None
             self.by_word.model._resize_cache(0)
 
@@ -88,11 +89,13 @@ class Encoder:
         parts: list[list[str] | None] = [x.split(" ") for x in texts]
         used = set().union(*parts)
         odd = {x for x in used if not x or x != x.strip() or _RUN.search(x)}  # no run of white space is without one of these
-        whole = [k for k, x in enumerate(texts) if odd and not odd.isdisjoint(parts[k]) and _RUN.search(x)]
+        whole = {k for k, x in enumerate(texts) if odd and not odd.isdisjoint(parts[k]) and _RUN.search(x)}
+        if self.added:
+            whole.update(k for k, x in enumerate(texts) if self.added.search(x))
         for k in whole:
             parts[k] = None
         if whole:
-            used = set().union(*(x for x in parts if x))
+            used = set().union(*(x for x in parts if x is not None))
         memo = self.memo
         new = used - memo.keys()
         if len(memo) + len(new) > _MEMO_ENTRIES:
@@ -165,15 +168,23 @@ def write_token_shards(
     write_blobs(shards, "shard", path, TRAILER)
 
 
-def parse_shard(blob: bytes) -> tuple[tuple[int, int], list[int | None], np.ndarray, np.ndarray]:
-    """Place, doc_ids, ends and ids of a shard."""
-    magic, width, part, seq, n, n_null, least, total = _HEAD.unpack_from(blob)
-    if magic != MAGIC or blob[-len(TRAILER) :] != TRAILER.encode():
-        raise ValueError("not a whole token shard")
-    known, at = EliasFano.from_bytes(blob, _HEAD.size)
-    bounds, at = EliasFano.from_bytes(blob, at)
-    ids = [None] * n_null + [least + int(x) for x in known.decode()]
-    return (part, seq), ids, bounds.decode().astype(np.int64), np.frombuffer(blob, f"<u{width}", total, at)
+class Shard:
+    """A shard's place, and any of its documents by the select structures, without a table of the others."""
+
+    def __init__(self, blob: bytes):
+        magic, width, *self.place, self.n, self.n_null, self.least, total = _HEAD.unpack_from(blob)
+        if magic != MAGIC or blob[-len(TRAILER) :] != TRAILER.encode():
+            raise ValueError("not a whole token shard")
+        self.known, at = EliasFano.from_bytes(blob, _HEAD.size)
+        self.bounds, at = EliasFano.from_bytes(blob, at)
+        self.ids = np.frombuffer(blob, f"<u{width}", total, at)
+
+    def doc_id(self, i: int) -> int | None:
+        return None if i < self.n_null else self.least + self.known.select(i - self.n_null)
+
+    def span(self, i: int) -> tuple[int, int]:
+        """Where the ids of the i-th document begin and end."""
+        return (self.bounds.select(i - 1) if i else 0), self.bounds.select(i)
 
 
 _ROWS = "part long, seq long, doc_id long, local long, n_tokens long, ids_crc32 long"
@@ -182,12 +193,11 @@ _ROWS = "part long, seq long, doc_id long, local long, n_tokens long, ids_crc32
 def _digests(batches):
     for batch in batches:
         for blob in batch.column(0):
-            (part, seq), ids, ends, tokens = parse_shard(blob.as_py())
-            starts = np.concatenate([[0], ends[:-1]])
-            wide = memoryview(tokens.astype("<u4").tobytes())
-            sums = [zlib.crc32(wide[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
-            columns = [np.full(len(ids), part), np.full(len(ids), seq), ids, starts, ends - starts, sums]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], [x.split()[0] for x in _ROWS.split(", ")])
+            shard, rows = Shard(blob.as_py()), []
+            for i in range(shard.n):
+                start, end = shard.span(i)
+                rows.append((*shard.place, shard.doc_id(i), start, end - start, zlib.crc32(shard.ids[start:end].astype("<u4"))))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], [x.split()[0] for x in _ROWS.split(", ")])
 
 
 def read_token_index(spark: SparkSession, path: str) -> DataFrame:
