@@ -119,7 +119,14 @@ def test_mix_matches_its_sql_and_means(spark, odd):
     assert heavy.where("source = 'b'").count() == 0
     rate = heavy.select("repetition_rate").first()[0]
     assert abs(heavy.count() / (2000 * rate) - 1) < 0.05 and rate > mixing.STEP
-    assert mixing.mix(odd).count() >= 0 and mixing.mix(odd.limit(0)).count() == 0
+    rate = {x.mix_source: x.rate for x in mixing.source_rates(odd).collect()}
+    assert set(rate) == {"", "s"}
+    copies = mixing.mix(odd.withColumn("row", F.lit(3))).collect()
+    assert {(x.doc_id, x.text, x.row, x.score) for x in copies} <= {(k, t, 3, 7) for k, t in ODD} and len(copies) == mixing.mix(odd, told=False).count()
+    assert sum(x.doc_id == 4 for x in copies) % 2 == 0  # repeated rows draw alike
+    con.register("odd", odd.toArrow())
+    assert con.sql(mixing.mix_sql(table="odd", columns="doc_id")).df().shape[0] == len(copies)
+    assert mixing.mix(odd.limit(0)).count() == 0
 
 
 def _junk(rng, words):
@@ -157,7 +164,6 @@ def test_simhash_prints_and_pairs(spark, odd):
     got = simhash.near_duplicates(odd).collect()
     assert sorted(x.fingerprint for x in got) == sorted(f"{_print(t):016x}" for _, t in ODD)
     assert {x.doc_id: x.component_id for x in got}[3] == 1
-    assert simhash.keep_one(odd).where("doc_id = 4").count() == 1
     assert simhash.near_duplicates(odd.limit(0)).count() == 0
 
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 from collections import Counter
 
+import duckdb
 import pytest
 
 from tidewater.llm import mixing
@@ -24,5 +25,9 @@ def test_a_tiny_source_is_served_at_any_rate(spark):
             u = int(hashlib.md5(f"mix-1|{k}|{doc_id}".encode()).hexdigest()[:13], 16) / 2**52
             want[doc_id] += sum(u >= x for x in limits)
     assert Counter(x.doc_id for x in got) == +want
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    assert Counter(x for (x,) in con.sql(mixing.mix_sql(columns="doc_id")).project("doc_id").fetchall()) == +want
     with pytest.raises(ValueError):
         mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights={"tiny": 1.0, "large": 1.0})

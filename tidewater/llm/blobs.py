@@ -27,6 +27,14 @@ def read_blobs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).where("length > 0").select("content")
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as no column of df has it."""
+    held = {x.lower() for x in df.columns}
+    while name.lower() in held:
+        name = "_" + name
+    return name
+
+
 def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts reach Python at most ``rows`` at a time, in this session, unless it already asks for fewer."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

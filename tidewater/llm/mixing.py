@@ -17,8 +17,8 @@ every rate, however small a source's share; explicit weights are bound by ``most
 Defined cases: null sources form one source of their own; a null doc_id draws by
 its text; a null or empty text counts zero characters and, where a whole source is
 empty, has rate one; repeated rows draw alike; an empty table gives no row. Output
-columns are those of docs, then those of ``ADDED`` (a column of docs by such a name
-is replaced).
+columns are those of docs, then, if ``told``, those of ``ADDED`` (a column of docs by
+such a name is replaced). Columns of any other name pass unharmed.
 """
 
 from __future__ import annotations
@@ -71,8 +71,9 @@ def mix(
     seed: str = "mix-1",
     most_rate: float = 64.0,
     most_sources: int = 100_000,
+    told: bool = True,
 ) -> DataFrame:
-    """docs replicated towards the target weights and globally shuffled, with copy, repetition_rate and shuffle_key.
+    """docs replicated towards the target weights and globally shuffled, with copy, repetition_rate and shuffle_key if ``told``.
 
     With explicit weights, a rate above most_rate raises an error, since such a source cannot fill its target by repetition in good sense.
     """
@@ -81,32 +82,32 @@ def mix(
     if weights is not None and highest is not None and highest > most_rate:
         raise ValueError(f"a source would be repeated {highest} times; the limit is {most_rate}")
     rates = F.broadcast(rates) if count <= most_sources else rates
+    base = docs.drop(*ADDED).columns if told else docs.columns
+    # a row travels as one struct, so no column of docs can meet a name of this function
     named = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))
-    base = docs.drop(*ADDED)
-    rated = base.withColumn("_mix", F.coalesce("source", F.lit(""))).join(rates, F.col("_mix") == F.col("mix_source"))
+    rows = docs.select(F.struct(*[F.col(f"`{x}`") for x in base]).alias("row"), named.alias("named"), F.coalesce("source", F.lit("")).alias("mix_source"))
     turns = F.sequence(F.lit(1), F.col("draws"))
-    uniforms = F.transform(turns, lambda k: hash_unit(F.concat_ws("|", F.lit(seed), k.cast("string"), named)))
+    uniforms = F.transform(turns, lambda k: hash_unit(F.concat_ws("|", F.lit(seed), k.cast("string"), F.col("named"))))
     times = F.aggregate(uniforms, F.lit(0), lambda held, u: held + F.size(F.filter("limits", lambda below: u >= below)))
-    copies = (
-        rated.withColumn("_times", times)
-        .where("_times > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-        .withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), F.col("copy").cast("string"), named)))
-    )
-    out = copies.select(*base.columns, F.col("copy").cast("long").alias("copy"), F.col("rate").alias("repetition_rate"), "shuffle_key")
-    return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    copies = rows.join(rates, "mix_source").withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    key = F.md5(F.concat_ws("|", F.lit(seed), F.col("copy").cast("string"), F.col("named")))
+    out = copies.select("row", F.col("copy").cast("long").alias("copy"), F.col("rate").alias("repetition_rate"), key.alias("shuffle_key"))
+    dealt = out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return dealt.select(*[F.col("row").getField(x).alias(x) for x in base], *(ADDED if told else ()))
 
 
 def mix_sql(temper: float = 0.7, epochs: float = 1.0, seed: str = "mix-1", table: str = "documents", columns: str = "doc_id, text, lang, source, n_chars") -> str:
-    """DuckDB SQL for ``mix`` without explicit weights, for rates up to STEP."""
-    u = f"(('0x' || substr(md5(concat_ws('|', '{seed}', '1', coalesce(doc_id::varchar, text, ''))), 1, 13))::bigint / {float(1 << 52)!r})"
+    """DuckDB SQL for ``mix`` without explicit weights."""
+    named = "coalesce(doc_id::varchar, text, '')"
+    u = f"(('0x' || substr(md5(concat_ws('|', '{seed}', turn::varchar, {named})), 1, 13))::bigint / {float(1 << 52)!r})"
     return f"""
 WITH sized AS (SELECT coalesce(source, '') AS mix_source, sum(coalesce(length(text), 0)) AS chars FROM {table} GROUP BY 1),
 shares AS (SELECT mix_source, chars::double / (SELECT sum(chars) FROM sized)::double AS share FROM sized),
 rates AS (SELECT mix_source, round(CASE WHEN share > 0 THEN {epochs!r} * pow(share, {temper!r}) / (SELECT sum(pow(share, {temper!r})) FROM shares WHERE share > 0) / share ELSE 1.0 END, 9) AS rate FROM shares),
-terms AS (SELECT mix_source, rate, k, exp(-rate) * pow(rate, k) / factorial(k::integer)::double AS term FROM rates, range(0, {TERMS + 1}) AS t(k)),
-steps AS (SELECT mix_source, rate, k, sum(term) OVER (PARTITION BY mix_source ORDER BY k) AS below FROM terms),
-limits AS (SELECT mix_source, rate, list(round(below, 12) ORDER BY k) AS belows FROM steps WHERE k < {TERMS} GROUP BY ALL),
-drawn AS (SELECT d.*, rate, len(list_filter(belows, lambda b: {u} >= b)) AS times FROM {table} d JOIN limits ON coalesce(d.source, '') = mix_source)
-SELECT {columns}, copy, rate AS repetition_rate, md5(concat_ws('|', '{seed}', copy::varchar, coalesce(doc_id::varchar, text, ''))) AS shuffle_key
-FROM (SELECT *, unnest(range(1, times + 1)) AS copy FROM drawn WHERE times > 0)"""
+parts AS (SELECT *, rate / draws AS mean FROM (SELECT *, greatest(1, ceil(rate / {STEP!r})::integer) AS draws FROM rates)),
+terms AS (SELECT mix_source, rate, draws, k, exp(-mean) * pow(mean, k) / factorial(k::integer)::double AS term FROM parts, range(0, {TERMS + 1}) AS t(k)),
+steps AS (SELECT mix_source, rate, draws, k, sum(term) OVER (PARTITION BY mix_source ORDER BY k) AS below FROM terms),
+limits AS (SELECT mix_source, rate, draws, list(round(below, 12) ORDER BY k) AS belows FROM steps WHERE k < {TERMS} GROUP BY ALL),
+drawn AS (SELECT d.*, rate, list_sum(list_transform(range(1, draws + 1), lambda turn: len(list_filter(belows, lambda b: {u} >= b)))) AS times FROM {table} d JOIN limits ON coalesce(d.source, '') = mix_source)
+SELECT {columns}, copy, rate AS repetition_rate, md5(concat_ws('|', '{seed}', copy::varchar, {named})) AS shuffle_key
+FROM (SELECT *, unnest(range(1, times::bigint + 1)) AS copy FROM drawn WHERE times > 0)"""

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.blobs import bound_batches
+from tidewater.llm.blobs import bound_batches, fresh
 from tidewater.workspace import Workspace
 
 BINS = 24
@@ -277,4 +277,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, rounds: int = 3, confidence: f
             yield batch.select(range(width)).filter(pa.array(keep))
 
     facts = F.array(*[x.cast("int") for x in _metadata_columns()])
-    return docs.select("*", facts.alias("_facts")).mapInArrow(run, docs.schema)
+    return docs.select("*", facts.alias(fresh(docs, "facts"))).mapInArrow(run, docs.schema)

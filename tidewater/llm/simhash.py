@@ -140,18 +140,3 @@ def near_duplicates(docs: DataFrame, within: int = 2, shingle: int = 3) -> DataF
     return rows.join(labels, F.col("fp") == F.col("of"), "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
-
-
-def keep_one(docs: DataFrame, within: int = 2) -> DataFrame:
-    """The rows of docs whose doc_id names their component; of rows that repeat such a doc_id one stays.
-
-    Rows without a doc_id stay only where their component has no id at all.
-    """
-    space = Workspace(docs.sparkSession, "simhash-keep")
-    marks, _ = space.table(near_duplicates(docs, within), "components")
-    stay = marks.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("times"))
-    stay, _ = space.table(stay, "stay")
-    # merged at every size: the same plan, hence the same growth, with few documents as with many
-    kept = docs.alias("d").join(stay.hint("merge").alias("s"), F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")), "left_semi")
-    repeated = stay.where("times > 1 and doc_id is not null").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
