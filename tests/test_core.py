@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions import scalars as S
@@ -27,6 +28,14 @@ def test_components_match_union_find(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+@pytest.mark.parametrize("hub", [0, 5000])
+def test_components_of_hot_nodes(spark, hub):
+    edges = [(hub, k) for k in range(1, 900)] + [(k, 2000 + k) for k in range(1, 50)] + [(7000, 7001)]
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()))
+    nodes = {x for e in edges for x in e}
+    assert got == {x: 7000 if x >= 7000 else min(hub, 1) for x in nodes}
+
+
 def test_best_with_ties_keeps_all_equal(spark):
     rows = [(1, "a", 5, 1, 9, 90, 1), (1, "b", 5, 1, 9, 90, 2), (1, "a", 4, 0, 9, 99, 3), (2, "c", 1, 1, 1, 80, 1)]
     df = spark.createDataFrame(rows, "hash long, subject string, bitscore long, evalue long, length long, pident long, ordinal long")

@@ -1,9 +1,10 @@
 """Connected components by alternating large-star and small-star contraction.
 
-Every step is a grouped minimum (partially aggregated before its shuffle) and
-an equi-join on the node, so no node's neighbours are gathered in one task and
-adaptive execution may split the join of a hot node. The number of rounds grows
-with the logarithm of the longest path.
+Every step is a grouped minimum (partially aggregated before its shuffle) and a
+join of the edges with their node's minimum. Nodes with more than ``most`` edges, at
+most HOT_NODES of them, meet their edges by broadcast where these lie; only the
+edges of other nodes are shuffled. So no task gets all edges of a hot node. The number
+of rounds grows with the logarithm of the longest path.
 """
 
 from __future__ import annotations
@@ -14,15 +15,27 @@ from pyspark.sql import functions as F
 from tidewater.workspace import Workspace
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: Nodes whose minimum is broadcast, at most; and the edges that make a node hot, at least.
+HOT_NODES, HOT_EDGES = 4000, 256
+
+
+def _with_least(edges: DataFrame, least: DataFrame, most: int) -> DataFrame:
+    """edges (u, v) with u's m of least (u, m, n)."""
+    hot = F.broadcast(least.where(F.col("n") > most).select("u", F.col("m").alias("hot")))
+    marked = edges.join(hot, "u", "left")
+    cold = marked.where("hot is null").select("u", "v").join(least.where(F.col("n") <= most).select("u", "m"), "u")
+    return marked.where("hot is not null").select("u", "v", F.col("hot").alias("m")).union(cold.select("u", "v", "m"))
+
+
+def _large_star(edges: DataFrame, most: int) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
+    return _with_least(both.where("v > u"), least, most).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+def _small_star(edges: DataFrame, most: int) -> DataFrame:
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    moved = _with_least(edges, least, most).where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -44,5 +57,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
                 now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         state, old = tuple(mark), path
-        now, path = space.table(_small_star(_large_star(now)), "edges")
+        most = max(HOT_EDGES, 2 * mark[0] // HOT_NODES)  # the edges have 2 * mark[0] ends
+        now, path = space.table(_small_star(_large_star(now, most), most), "edges")
         space.drop(old)
