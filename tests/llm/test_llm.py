@@ -178,8 +178,9 @@ def test_hamming_pairs_are_complete(spark, split_over):
     assert {tuple(x) for x in got.collect()} == want
 
 
-@pytest.mark.parametrize("block_bytes", [40, 1 << 20])
-def test_decontamination_equals_brute_force(spark, odd, block_bytes):
+@pytest.mark.parametrize("block_bytes, piece_words", [(40, 20_000), (1 << 20, 2), (1 << 20, 20_000)])
+def test_decontamination_equals_brute_force(spark, odd, monkeypatch, block_bytes, piece_words):
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", piece_words)
     rng, vocabulary = random.Random(7), ["a", "b", "c", "É", "7"]
     text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
     items = [(1, text(12)), (2, text(3)), (3, None), (4, "!!"), (5, text(15)), (5, text(10)), (None, text(4))]
@@ -202,6 +203,9 @@ def test_decontamination_equals_brute_force(spark, odd, block_bytes):
     kept = decontaminate.drop_contaminated(odd, spark.createDataFrame([(1, "c d e f g h i j k l")], "item_id long, text string"))
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 2
     assert decontaminate.scan(odd, benchmark.limit(0)).where("contaminated").count() == 0
+    assert decontaminate.scan(odd.limit(0), benchmark).count() == 0
+    many = decontaminate.drop_contaminated(odd, spark.createDataFrame([(k, f"c d e f g h i j k {x}") for k, x in enumerate("xyzl")], "item_id long, text string"), block_bytes=30)
+    assert many.count() == len(ODD) - 2
 
 
 def test_warc_round_trip(spark):
@@ -219,11 +223,22 @@ def test_warc_round_trip(spark):
     assert warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def _maximal(scores, low, high):
+    """The segment of the greatest sum (of those the shortest, of those the first), then those of what is left of it and right of it."""
+    sums = [(round(sum(scores[a : b + 1]), 9), a - b, -a, b) for a in range(low, high + 1) for b in range(a, high + 1)]
+    if not sums or max(sums)[0] <= 0:
+        return []
+    _, _, a, b = max(sums)
+    return [*_maximal(scores, low, -a - 1), (-a, b), *_maximal(scores, b + 1, high)]
+
+
 def test_segments_equal_brute_force():
     rng = random.Random(8)
     for _ in range(300):
         scores = [rng.choice([-0.5, -0.5, -0.5, 2.0, 1.0, 0.25]) for _ in range(rng.randrange(1, 14))]
         found = toxicity.segments([(k, s) for k, s in enumerate(scores) if s > 0])
+        places = {k for k, v in enumerate(scores) if v > 0}
+        assert {(a, b) for a, b, _ in found} == set(_maximal(scores, 0, len(scores) - 1)) and places == {k for a, b, _ in found for k in range(a, b + 1) if scores[k] > 0}
         best = max((sum(scores[a : b + 1]) for a in range(len(scores)) for b in range(a, len(scores))), default=0)
         assert max((s for _, _, s in found), default=0) == pytest.approx(max(best, 0))
         assert all(sum(scores[a : b + 1]) == pytest.approx(s) for a, b, s in found)
@@ -238,7 +253,9 @@ def test_toxicity_on_held_out_rows(spark, odd):
     got = toxicity.score_toxicity(df, labels).collect()
     assert all(x.held_out == (zlib.crc32(str(x.doc_id).encode()) % 3 == 1) for x in got)
     assert sum(x.predicted != (x.doc_id % 5 == 0) for x in got if x.held_out) == 0
-    assert toxicity.score_toxicity(odd, labels).count() == len(ODD)
+    odd_scores = {x.doc_id: x for x in toxicity.score_toxicity(odd, labels).collect() if x.doc_id not in (4, None)}
+    assert len(odd_scores) == len(ODD) - 3 and not any(x.predicted for x in odd_scores.values()) and odd_scores[1].score == odd_scores[2].score == odd_scores[3].score
+    assert toxicity.score_toxicity(odd, labels).count() == len(ODD) and toxicity.score_toxicity(odd.limit(0), labels).count() == 0
     assert {x.score for x in toxicity.score_toxicity(odd, labels.limit(0)).collect()} == {0.0}
 
 

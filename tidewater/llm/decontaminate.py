@@ -6,8 +6,10 @@ how far the scan may jump; a block with shift zero selects a bucket of windows
 that end with it, their first words narrow the bucket, and a direct comparison of
 all words confirms. Most blocks of a text are in no window and skip nine words.
 
-The benchmark is taken in blocks of at most ``block_bytes`` of text, each searched
-for in all documents in its own pass, so what one pass ships is bounded.
+Items beyond PIECE_WORDS words are cut into pieces that share all but one word of a window,
+so no window is lost. The benchmark is taken in blocks of about ``block_bytes`` of text,
+each read, shipped and searched for in all documents in a job of its own, whose finds
+are written before the next begins; so what the driver and a task hold is bounded.
 
 Defined cases: null and empty texts have no words; items without words have no
 window; rows with equal item_id are one item, a null item_id is the item named by
@@ -27,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.llm.blobs import bound_batches
+from tidewater.workspace import Workspace
 
-WINDOW = 10
+WINDOW, PIECE_WORDS = 10, 20_000
 _WORDS = bytes(
     x + 32 if 0x41 <= x <= 0x5A else x if x >= 0x80 or 0x30 <= x <= 0x39 or 0x61 <= x <= 0x7A else 0x20 for x in range(256)
 )
@@ -98,11 +101,35 @@ class Scanner:
         return found
 
 
-def _blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple]]:
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = -(-size // block_bytes)
-    rows = benchmark.select("item_id", "text")
-    return [[tuple(x) for x in rows.where(F.pmod(F.xxhash64("text"), F.lit(count)) == k).collect()] for k in range(count)] or [[]]
+def _pieces(window: int, most: int):
+    """(item_id, text) to (item_id, words) of pieces of at most ``most`` windows; one piece of a text of fewer words than a window."""
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = words_of(text.as_py())
+                for at in range(0, max(1, len(words) - window + 1) if words else 0, most):
+                    rows.append((item_id, b" ".join(words[at : at + most + window - 1]).decode("utf-8", "surrogatepass")))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in zip(*rows)], ["item_id", "words"])
+
+    return run
+
+
+class Blocks:
+    """The benchmark in blocks, each read when it is asked for."""
+
+    def __init__(self, benchmark: DataFrame, window: int, block_bytes: int):
+        items = benchmark.select(F.col("item_id").cast("string"), F.col("text")).distinct()
+        pieces = items.mapInArrow(_pieces(window, PIECE_WORDS), "item_id string, words string")
+        self.pieces, _ = Workspace(benchmark.sparkSession, "benchmark").table(pieces, "pieces")
+        size = self.pieces.agg(F.sum(F.octet_length("words"))).first()[0] or 0
+        self.count = max(1, -(-size // block_bytes))
+
+    def read(self, k: int) -> list[tuple]:
+        """About block_bytes of pieces."""
+        return [tuple(x) for x in self.pieces.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(self.count)) == k).collect()]
 
 
 _STATE = "doc_id long, text string, mask binary, items array<string>"
@@ -151,13 +178,14 @@ def _digest(held, window: int):
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 2 << 20) -> DataFrame:
     """One row per document: words, words inside benchmark windows, items found and a digest of their ids."""
     bound_batches(docs.sparkSession)
-    context = docs.sparkSession.sparkContext
-    none = F.lit(None)
+    context, space = docs.sparkSession.sparkContext, Workspace(docs.sparkSession, "decontaminate")
+    none, blocks, path = F.lit(None), Blocks(benchmark, window, block_bytes), None
     state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", none.cast("binary").alias("mask"), none.cast("array<string>").alias("items"))
-    *early, last = [context.broadcast(x) for x in _blocks(benchmark, block_bytes)]
-    for held in early:
-        state = state.mapInArrow(_search(held, window), _STATE)
-    return state.mapInArrow(_digest(last, window), _RESULT)
+    for k in range(blocks.count - 1):
+        old = path
+        state, path = space.table(state.mapInArrow(_search(context.broadcast(blocks.read(k)), window), _STATE), "state")
+        space.drop(*([old] if old else []))
+    return state.mapInArrow(_digest(context.broadcast(blocks.read(blocks.count - 1)), window), _RESULT)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = 2 << 20) -> DataFrame:
@@ -177,6 +205,10 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
         return run
 
-    for block in _blocks(benchmark, block_bytes):
-        docs = docs.mapInArrow(clean(context.broadcast(block)), docs.schema)
+    blocks, space, path = Blocks(benchmark, window, block_bytes), Workspace(docs.sparkSession, "decontaminate"), None
+    for k in range(blocks.count):
+        docs, old = docs.mapInArrow(clean(context.broadcast(blocks.read(k))), docs.schema), path
+        if k < blocks.count - 1:
+            docs, path = space.table(docs, "clean")
+            space.drop(*([old] if old else []))
     return docs
