@@ -15,8 +15,9 @@ text of n words. The largest and the sum of the significances over zero are
 calibrated to a probability by a logistic model on labelled documents, each scored
 with weights that its own half of the labels had no part in.
 
-The model is fitted on at most ``most_labels`` labelled rows (those of least hash)
-and has at most ``most_forms`` forms; these bound what is shipped.
+The model is fitted on at most ``most_labels`` labelled rows (those of least hash); as
+a form must be in LEAST of their toxic texts, this bounds what is shipped. No form that
+passes is left out.
 
 Defined cases: a null, empty or wordless text scores as one without toxic words; a
 label that is null or not 0 or 1 is no label, of several the least counts; repeated
@@ -163,7 +164,7 @@ def _summed(df: DataFrame) -> DataFrame:
 class Model:
     """Fitted on labelled rows (text, label, fold) and the frequencies of forms in all texts."""
 
-    def __init__(self, docs: DataFrame, known: DataFrame, most_forms: int):
+    def __init__(self, docs: DataFrame, known: DataFrame):
         sizes = {(x.label, x.fold): x.n for x in known.groupBy("label", "fold").agg(F.count("*").alias("n")).collect()}
         n = np.array([[sizes.get((label, fold), 0) for fold in (0, 1)] for label in (1, 0)], float)
         self.share, self.weight, self.logistic, self.scale = (n[0].sum() / n.sum() if n.sum() else 0.0), {}, None, Calibration(1.0, 1.0)
@@ -171,8 +172,8 @@ class Model:
             return
         counted = _summed(known.mapInArrow(_tally(_all_forms), _COUNTS)).where(f"y0 + y1 >= {LEAST}")
         odds = F.log((F.col("y0") + F.col("y1") + 1) / (F.col("c0") + F.col("c1") + 1))
-        first = counted.where(odds > math.log(n[0].sum() / n[1].sum()) + 2).orderBy(F.desc(odds), F.desc(F.col("y0") + F.col("y1")), "form").limit(most_forms)
-        rows = {x.form: np.array([[x.y0, x.y1], [x.c0, x.c1]], float) for x in first.collect()}  # at most most_forms
+        first = counted.where(odds > math.log(n[0].sum() / n[1].sum()) + 2)
+        rows = {x.form: np.array([[x.y0, x.y1], [x.c0, x.c1]], float) for x in first.collect()}  # forms of the bounded labelled rows
         if rows:
             rows = self._explaining(known, rows, n)
         prior = self._prior(docs, rows) if rows else {}
@@ -202,12 +203,12 @@ class Model:
         wanted = set(rows)
 
         def forms(words):
-            return [x for x in _all_forms(words) if x in wanted]
+            return ["", *(x for x in _all_forms(words) if x in wanted)]  # the empty form is in every document
 
-        tally = _tally(forms)
-        found = _summed(docs.select("text", F.lit(0).alias("label"), F.lit(0).alias("fold")).mapInArrow(tally, _COUNTS)).collect()
-        total = max(1, docs.count())
-        return {x.form: x.c0 / total for x in found}
+        found = _summed(docs.select("text", F.lit(0).alias("label"), F.lit(0).alias("fold")).mapInArrow(_tally(forms), _COUNTS)).collect()
+        count = {x.form: x.c0 for x in found}
+        total = max(1, count.pop("", 0))
+        return {form: n / total for form, n in count.items()}
 
     @staticmethod
     def _odds(rows: dict, prior: dict, n: np.ndarray, folds: tuple) -> dict[str, float]:
@@ -274,7 +275,7 @@ _RESULT = "doc_id long, held_out boolean, score double, predicted int, n_passage
 
 
 def score_toxicity(
-    docs: DataFrame, labels: DataFrame, folds: int = 3, out_fold: int = 1, limit: float = 0.7, most_labels: int = 200_000, most_forms: int = 50_000
+    docs: DataFrame, labels: DataFrame, folds: int = 3, out_fold: int = 1, limit: float = 0.7, most_labels: int = 200_000
 ) -> DataFrame:
     """One row per document: held_out, score (probability of toxicity), predicted, and its significant passages (word places).
 
@@ -289,7 +290,7 @@ def score_toxicity(
     given = given.orderBy(F.xxhash64("of"), "of").limit(most_labels)
     known = texts.join(F.broadcast(given), F.col("doc_id") == F.col("of")).select("text", "label", "fold")
     known, path = Workspace(spark, "toxicity").table(known, "labelled")
-    model = Model(texts, known, most_forms)
+    model = Model(texts, known)
     Workspace(spark, "toxicity").drop(path)
     weights = spark.sparkContext.broadcast(model.weights[2] if model.logistic is not None else {})
     scale, logistic, share = model.scale, model.logistic, model.share
