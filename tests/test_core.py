@@ -50,8 +50,13 @@ def test_lca_and_vote(spark):
     assert got[2] == ("F", None, "S", 2, "AMBIGUOUS_TIE")
     assert got[3] == ("F", "G", "S", 2, "ASSIGNED")
     assert got[4] == (None, None, None, -1, "REFERENCE_UNRESOLVED")
-    votes = {x.k: (x.winner, x.votes, x.winners) for x in taxonomy.plurality(df, ["k"], "species").collect()}
-    assert votes[1] == ("S1", 1, 2) and votes[2] == ("S", 2, 1)
+    same = spark.createDataFrame([(9, "F", "G", "S", -1), (9, "F", "G", "S", -1), (8, "F", "G", "S", -1), (8, "F", "G", "S", -2)], "k long, family string, genus string, species string, taxid long")
+    got = {x.k: x.status for x in taxonomy.common_lineage(same, ["k"], ["family", "genus", "species"], ["taxid", "family", "genus", "species"]).collect()}
+    assert got == {9: "ASSIGNED", 8: "AMBIGUOUS_TIE"}
+    votes = {x.k: (x.species, x.genus, x.status, x.votes, x.winners) for x in taxonomy.plurality(df, ["k"], ["family", "genus", "species"]).collect()}
+    assert votes[1] == (None, "G", "AMBIGUOUS_TIE", 1, 2) and votes[2] == ("S", None, "AMBIGUOUS_TIE", 1, 2) and votes[3] == ("S", "G", "ASSIGNED", 1, 1)
+    won = taxonomy.plurality(df.union(df.where("species = 'S1'")), ["k"], ["family", "genus", "species"]).where("k = 1").first()
+    assert (won.species, won.status, won.votes) == ("S1", "ASSIGNED", 2)
 
 
 def test_streak_resets_by_absence(spark):

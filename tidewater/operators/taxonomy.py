@@ -14,22 +14,24 @@ def known(name: Column) -> Column:
     return F.when(~F.lower(trimmed).isin("", "na", "unassigned"), trimmed)
 
 
-def common_lineage(df: DataFrame, keys: list[str], ranks: list[str]) -> DataFrame:
+def common_lineage(df: DataFrame, keys: list[str], ranks: list[str], identity: list[str] | None = None) -> DataFrame:
     """Per key the ranks on which all rows agree, down to the first that two names contest; and depth, the last such rank (-1: none).
 
     A rank is set only where every row has it and all are equal; a rank that some rows miss is null but does not end the walk.
-    Names are aggregated rank by rank, so a key's rows are never gathered.
+    Rows that are equal in ``identity`` (the ranks, unless named) are one result, and a key with one result is ASSIGNED. The
+    aggregates are minima, maxima and counts, so a key's rows are never gathered and no row is expanded.
     """
-    counts = [x for r in ranks for x in (F.countDistinct(r).alias(f"_n_{r}"), F.count(r).alias(f"_k_{r}"), F.min(r).alias(r))]
-    grouped = df.groupBy(*keys).agg(F.count("*").alias("_all"), *counts)
+    one = F.struct(*(identity or ranks))
+    counts = [x for r in ranks for x in (F.min(r).alias(r), F.max(r).alias(f"_m_{r}"), F.count(r).alias(f"_k_{r}"))]
+    grouped = df.groupBy(*keys).agg(F.count("*").alias("_all"), F.min(one).alias("_low"), F.max(one).alias("_high"), *counts)
     open_, out, depth = F.lit(True), [], F.lit(-1)
     for place, rank in enumerate(ranks):
-        open_ = open_ & (F.col(f"_n_{rank}") <= 1)
-        agreed = open_ & (F.col(f"_n_{rank}") == 1) & (F.col(f"_k_{rank}") == F.col("_all"))
+        open_ = open_ & F.coalesce(F.col(rank) == F.col(f"_m_{rank}"), F.lit(True))
+        agreed = open_ & (F.col(f"_k_{rank}") == F.col("_all"))
         out.append(F.when(agreed, F.col(rank)).alias(rank))
         depth = F.when(agreed, place).otherwise(depth)
-    status = F.when(F.col("depth") < 0, "REFERENCE_UNRESOLVED").when(F.col("_all") == 1, "ASSIGNED").otherwise("AMBIGUOUS_TIE")
-    done = grouped.select(*keys, "_all", *out, depth.cast("long").alias("depth"))
+    status = F.when(F.col("depth") < 0, "REFERENCE_UNRESOLVED").when(F.col("_single"), "ASSIGNED").otherwise("AMBIGUOUS_TIE")
+    done = grouped.select(*keys, F.col("_low").eqNullSafe(F.col("_high")).alias("_single"), *out, depth.cast("long").alias("depth"))
     return done.select(*keys, *ranks, "depth", status.alias("status"))
 
 
@@ -39,8 +41,14 @@ def identity_tier(pident: Column, genus: float, species: float, ranks: dict[str,
     return F.when(pident < genus, family).when(pident < species, F.coalesce(genus_name, family)).otherwise(F.coalesce(species_name, genus_name, family))
 
 
-def plurality(df: DataFrame, keys: list[str], vote: str) -> DataFrame:
-    """All votes with the most rows per key, nulls aside, with their count and how many share it."""
-    counted = df.where(F.col(vote).isNotNull()).groupBy(*keys, vote).agg(F.count("*").alias("votes"))
+def plurality(df: DataFrame, keys: list[str], ranks: list[str], identity: list[str] | None = None) -> DataFrame:
+    """Per key the lineage with most rows: ASSIGNED where it is the only one with so many, else the winners' common ranks; with votes and winners.
+
+    Rows without any name do not vote.
+    """
+    known_row = F.coalesce(*ranks).isNotNull()
+    counted = df.where(known_row).groupBy(*keys, *dict.fromkeys([*(identity or ()), *ranks])).agg(F.count("*").alias("votes"))
     winners = best_with_ties(counted, keys, [F.desc("votes")])
-    return winners.groupBy(*keys).agg(F.min(vote).alias("winner"), F.max("votes").alias("votes"), F.count("*").alias("winners"))
+    common = common_lineage(winners, keys, ranks, identity)
+    return common.join(winners.groupBy(*keys).agg(F.max("votes").alias("votes"), F.count("*").alias("winners")), keys)
+

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import DataFrame, SparkSession
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 VIEWS = {
@@ -48,3 +50,8 @@ def duckdb(sql: str) -> str:
 def spark(sql: str, sf_dir: str) -> str:
     text = with_views(sql).replace("{has}", "regexp_like").replace("{all}", "")
     return re.sub(rf"\b(FROM|JOIN) ({'|'.join(TABLES)})\b", lambda m: f"{m[1]} parquet.`{sf_dir}/{m[2]}.parquet`", text)
+
+
+def view(session: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the views over the tables in sf_dir."""
+    return session.sql(spark(f"SELECT * FROM {name}", sf_dir))

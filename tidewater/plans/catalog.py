@@ -6,13 +6,12 @@ compositions of tidewater.operators and tidewater.functions, each with SQL of it
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import scalars as S
 from tidewater.operators import ranking, rounds, taxonomy
 from tidewater.operators.graph import connected_components
-from tidewater.plans import adapters, evidence
+from tidewater.plans import adapters, built, evidence
 
 PLANS = {
     # filters
@@ -35,13 +34,11 @@ PLANS = {
     "e01_summary_target_report": "SELECT o.o_orderkey AS read_id, coalesce(x.marker, 'unmatched') AS marker FROM orders o LEFT JOIN (SELECT read_id, min(marker) AS marker FROM members GROUP BY read_id) x ON o.o_orderkey = x.read_id",
     "e05_members_first_demux": "SELECT m.otu, m.read_id, coalesce(d.c_mktsegment, 'unknown') AS sample FROM members m LEFT JOIN (SELECT o_orderkey, o_custkey FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate, o_custkey) AS nth FROM orders) AS y WHERE nth = 1) o ON m.read_id = o.o_orderkey LEFT JOIN customer d ON o.o_custkey = d.c_custkey",
     "e09_membership_parity": "SELECT coalesce(a.read_id, b.read_id) AS read_id, CASE WHEN a.read_id IS NULL THEN 'extra' ELSE 'missing' END AS problem FROM (SELECT DISTINCT read_id FROM members) a FULL OUTER JOIN (SELECT o_orderkey AS read_id FROM orders WHERE o_orderstatus <> 'P') b ON a.read_id = b.read_id WHERE a.read_id IS NULL OR b.read_id IS NULL",
-    "e11_strict_round_join": "SELECT round, count(*) AS pairs, count(CASE WHEN n > 1 THEN 1 END) AS repeated FROM sized GROUP BY round",
     "e12_semi_join_ids": "SELECT r.read_id, r.marker FROM reads r WHERE EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = r.doc_id AND l.quality = 1)",
     "e13_anti_join_prune": "SELECT r.read_id FROM reads r WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = r.doc_id AND l.quality = 0)",
     "e15_keys_to_members": "SELECT otu, read_id FROM members WHERE otu % 10 = 1 UNION SELECT m.otu, m.read_id FROM members m JOIN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3) s ON m.otu = s.s_suppkey",
     "e18_scoped_prune_keep": "SELECT m.otu, m.read_id FROM members m WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = m.otu AND s.s_acctbal < 0)",
     "e19_recovered_reads": "SELECT DISTINCT m.read_id FROM members m JOIN supplier s ON m.otu = s.s_suppkey WHERE s.s_nationkey = 7",
-    "e22_disposition_policy": "SELECT p.p_partkey AS reference, CASE WHEN d.action IS NULL THEN 'retain' ELSE d.action END AS action FROM part p LEFT JOIN (SELECT DISTINCT l_partkey AS reference, 'quarantine' AS action FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 49) d ON p.p_partkey = d.reference",
     # aggregations
     "f01_column_counts": "SELECT count(*) AS n_rows, count(DISTINCT sample) AS samples, count(qscore) AS scored, count(CASE WHEN model = 'sup' THEN 1 END) AS sup FROM reads",
     "f02_hash_multiplicity": "SELECT md5(upper(header)) AS hash, count(*) AS n FROM headers GROUP BY md5(upper(header))",
@@ -97,7 +94,7 @@ PLANS = {
     "j13_lineage_authority": "SELECT genus, count(DISTINCT family) AS families, CASE WHEN count(DISTINCT family) = 1 THEN min(family) END AS family FROM lineage WHERE genus <> 'NA' GROUP BY genus",
     "j15_sample_mode": "SELECT sample, CASE WHEN max(CASE WHEN doc_id % 5 <> 0 THEN 1 ELSE 0 END) = 1 THEN 'barcoded' ELSE 'no_adapter_only' END AS mode FROM reads GROUP BY sample",
     # clustering
-    "k01_new_by_hash": "SELECT seq_hash, doc_id FROM (SELECT md5(seq) AS seq_hash, doc_id, row_number() OVER (PARTITION BY md5(seq) ORDER BY doc_id) AS nth FROM reads) AS x WHERE nth = 1 AND seq_hash NOT IN (SELECT md5(seq) FROM reads WHERE doc_id < 100)",
+    "k01_new_by_hash": "SELECT seq_hash, doc_id FROM (SELECT md5(seq) AS seq_hash, doc_id, row_number() OVER (PARTITION BY md5(seq) ORDER BY doc_id) AS nth FROM reads) AS x WHERE nth = 1 AND NOT EXISTS (SELECT 1 FROM reads o WHERE o.doc_id < 100 AND md5(o.seq) = x.seq_hash)",
     "k04_merge_renumber": "SELECT otu, origin, CAST(dense_rank() OVER (ORDER BY origin, otu) - 1 AS BIGINT) AS cluster FROM (SELECT DISTINCT otu, CASE WHEN otu % 2 = 0 THEN 'A' ELSE 'F' END AS origin FROM members) AS x",
     "k13_exact_groups": "SELECT md5(seq) AS seq_hash, count(*) AS n, min(doc_id) AS first_id FROM reads GROUP BY md5(seq)",
     # rounds
@@ -125,8 +122,7 @@ def _plan(sql: str):
     return lambda spark, sf_dir: spark.sql(adapters.spark(sql, sf_dir))
 
 
-def _view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.sql(adapters.spark(f"SELECT * FROM {name}", sf_dir))
+_view = adapters.view
 
 
 def c_header_fields(spark, sf_dir):
@@ -164,7 +160,7 @@ def j05_lineage_lca(spark, sf_dir):
 
 
 def j07_plurality_vote(spark, sf_dir):
-    return taxonomy.plurality(_hits(spark, sf_dir), ["hash"], "genus")
+    return taxonomy.plurality(_hits(spark, sf_dir), ["hash"], ["family", "genus", "species"])
 
 
 def k07_components(spark, sf_dir):
@@ -198,9 +194,9 @@ FLAGSHIP = n04_assignments_by_level
 
 _KNOWN = "SELECT hash, pident, family, nullif(genus, 'NA') AS genus, nullif(species, 'NA') AS species FROM hits"
 _LCA = f"""SELECT hash, CASE WHEN nf = 1 AND kf = n THEN family END AS family, CASE WHEN nf <= 1 AND ng = 1 AND kg = n THEN genus END AS genus, CASE WHEN nf <= 1 AND ng <= 1 AND ns = 1 AND ks = n THEN species END AS species,
- CAST(CASE WHEN nf <= 1 AND ng <= 1 AND ns = 1 AND ks = n THEN 2 WHEN nf <= 1 AND ng = 1 AND kg = n THEN 1 WHEN nf = 1 AND kf = n THEN 0 ELSE -1 END AS BIGINT) AS depth, n
- FROM (SELECT hash, count(*) AS n, count(DISTINCT family) AS nf, count(family) AS kf, min(family) AS family, count(DISTINCT genus) AS ng, count(genus) AS kg, min(genus) AS genus, count(DISTINCT species) AS ns, count(species) AS ks, min(species) AS species FROM ({_KNOWN}) GROUP BY hash)"""
-_LCA = f"SELECT hash, family, genus, species, depth, CASE WHEN depth < 0 THEN 'REFERENCE_UNRESOLVED' WHEN n = 1 THEN 'ASSIGNED' ELSE 'AMBIGUOUS_TIE' END AS status FROM ({_LCA})"
+ CAST(CASE WHEN nf <= 1 AND ng <= 1 AND ns = 1 AND ks = n THEN 2 WHEN nf <= 1 AND ng = 1 AND kg = n THEN 1 WHEN nf = 1 AND kf = n THEN 0 ELSE -1 END AS BIGINT) AS depth, kinds
+ FROM (SELECT hash, count(*) AS n, count(DISTINCT concat_ws('/', family, coalesce(genus, '-'), coalesce(species, '-'))) AS kinds, count(DISTINCT family) AS nf, count(family) AS kf, min(family) AS family, count(DISTINCT genus) AS ng, count(genus) AS kg, min(genus) AS genus, count(DISTINCT species) AS ns, count(species) AS ks, min(species) AS species FROM ({_KNOWN}) GROUP BY hash)"""
+_LCA = f"SELECT hash, family, genus, species, depth, CASE WHEN depth < 0 THEN 'REFERENCE_UNRESOLVED' WHEN kinds = 1 THEN 'ASSIGNED' ELSE 'AMBIGUOUS_TIE' END AS status FROM ({_LCA})"
 
 BUILT = {
     "c_header_fields": (c_header_fields, """SELECT doc_id, split_part(header, '|', 1) AS base_id, model, CAST(CASE model WHEN 'sup' THEN 3 WHEN 'hac' THEN 2 WHEN 'fast' THEN 1 ELSE 0 END AS BIGINT) AS model_rank, barcode, CASE WHEN starts_with(adapter, 'no_adapter_') THEN 'no_adapter' ELSE adapter END AS adapter
@@ -210,12 +206,16 @@ BUILT = {
     "g10_rank_until_quota": (g10_rank_until_quota, "SELECT sample, marker, n, q FROM (SELECT *, coalesce(sum(n) OVER (PARTITION BY sample ORDER BY q DESC NULLS LAST, n DESC, marker ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT sample, marker, count(*) AS n, max(qscore) AS q FROM reads GROUP BY sample, marker)) WHERE before < 20"),
     "j01_identity_tier": (j01_identity_tier, f"SELECT DISTINCT hash, pident, CASE WHEN pident < 93 THEN family WHEN pident < 95 THEN coalesce(genus, family) ELSE coalesce(species, genus, family) END AS name FROM ({_KNOWN})"),
     "j05_lineage_lca": (j05_lineage_lca, _LCA),
-    "j07_plurality_vote": (j07_plurality_vote, f"SELECT hash, min(genus) AS winner, max(votes) AS votes, count(*) AS winners FROM (SELECT hash, genus, count(*) AS votes, rank() OVER (PARTITION BY hash ORDER BY count(*) DESC) AS place FROM ({_KNOWN}) WHERE genus IS NOT NULL GROUP BY hash, genus) WHERE place = 1 GROUP BY hash"),
+    "j07_plurality_vote": (j07_plurality_vote, f"""SELECT hash, f AS family, CASE WHEN f IS NULL THEN NULL ELSE g END AS genus, CASE WHEN f IS NULL OR many_g THEN NULL ELSE s END AS species,
+ CAST(CASE WHEN f IS NULL THEN -1 WHEN NOT many_g AND s IS NOT NULL THEN 2 WHEN g IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS depth, CASE WHEN f IS NULL THEN 'REFERENCE_UNRESOLVED' WHEN winners = 1 THEN 'ASSIGNED' ELSE 'AMBIGUOUS_TIE' END AS status, votes, winners
+ FROM (SELECT hash, max(votes) AS votes, count(*) AS winners, CASE WHEN len(list_distinct(list(family))) = 1 THEN any_value(family) END AS f, CASE WHEN len(list_distinct(list(coalesce(genus, '-')))) = 1 THEN any_value(genus) END AS g, len(list_distinct(list(genus))) > 1 AS many_g,
+ CASE WHEN len(list_distinct(list(coalesce(species, '-')))) = 1 THEN any_value(species) END AS s FROM (SELECT hash, family, genus, species, count(*) AS votes, rank() OVER (PARTITION BY hash ORDER BY count(*) DESC) AS place FROM ({_KNOWN}) GROUP BY hash, family, genus, species) WHERE place = 1 GROUP BY hash)"""),
     "k07_components": (k07_components, "WITH RECURSIVE e AS (SELECT DISTINCT l_orderkey AS a, -l_partkey AS b FROM lineitem WHERE l_quantity > 49 AND l_discount > 0.08), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r AS (SELECT a AS node, a AS seen FROM u UNION SELECT r.node, u.b FROM r JOIN u ON r.seen = u.a) SELECT node, min(seen) AS component FROM r GROUP BY node"),
     "l05_freeze_promotion": (l05_freeze_promotion, """SELECT otu, rounds, reads, rounds >= 3 AND reads >= 50 AND (rounds < 3 OR fell = 0) AS promoted FROM (SELECT otu, count(*) AS rounds, CAST(sum(n) AS BIGINT) AS reads, max(CASE WHEN back < 3 AND before > 0 AND n < 0.75 * before THEN 1 ELSE 0 END) AS fell
  FROM (SELECT otu, round, n, lag(n) OVER (PARTITION BY otu ORDER BY round) AS before, row_number() OVER (PARTITION BY otu ORDER BY round DESC) AS back FROM (SELECT otu, round, sum(n) AS n FROM sized GROUP BY otu, round)) GROUP BY otu)"""),
     "l06_size_streak": (l06_size_streak, "SELECT otu, marker, round, streak, streak >= 3 AS prune FROM (SELECT otu, marker, round, row_number() OVER (PARTITION BY otu, marker, island ORDER BY round) AS streak FROM (SELECT *, round - row_number() OVER (PARTITION BY otu, marker ORDER BY round) AS island FROM (SELECT otu, marker, round FROM sized WHERE n = 1)))"),
     "n04_assignments_by_level": (n04_assignments_by_level, f"SELECT family, genus, species, count(*) AS otus, CAST(sum(CASE WHEN status = 'ASSIGNED' THEN 1 ELSE 0 END) AS BIGINT) AS assigned FROM ({_LCA}) GROUP BY family, genus, species"),
+    **built.BUILT,
 }
 
 QUERIES = {**{k: _plan(v) for k, v in PLANS.items()}, **{k: f for k, (f, _) in BUILT.items()}}
