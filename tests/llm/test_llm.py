@@ -272,15 +272,26 @@ def _removed(docs, length):
     return out
 
 
-@pytest.mark.parametrize("split_over", [1, 20_000])
-def test_suffix_dedup_equals_brute_force(spark, odd, split_over):
+@pytest.mark.parametrize("split_over, sample", [(1, 64), (1, 1), (20_000, 64)])
+def test_suffix_dedup_equals_brute_force(spark, odd, split_over, sample):
     rng = random.Random(10)
     pool = ["".join(rng.choice("abcé ") for _ in range(rng.randrange(60, 260))) for _ in range(12)]
     docs = [(k, "".join(rng.choice(pool)[rng.randrange(20) :] for _ in range(rng.randrange(5)))) for k in range(60)] + [(99, "z" * 500), (100, None)]
-    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), split_over=split_over).drop("spans")
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), split_over=split_over, sample=sample).drop("spans")
     assert sorted(tuple(x) for x in got.collect()) == _removed(docs, 100)
 
 
+def test_suffix_dedup_of_a_text_beyond_one_chunk(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "_CHUNK", 3000)
+    rng = random.Random(12)
+    long = "".join(rng.choice("abcdefgh") for _ in range(9000))
+    docs = [(1, long), (2, "x" + long[2900:3200] + "y" + long[5900:6150]), (3, "q" * 7000), (4, long[:99])]
+    got = sorted(tuple(x) for x in suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).drop("spans").collect())
+    assert got == _removed(docs, 100)
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), length=400)
+
+
 def test_suffix_dedup_edges(spark, odd):
     ordered = sorted(ODD, key=lambda x: (x[0] is not None, x[0] or 0, hashlib.sha256((x[1] or "").encode()).hexdigest()))
     got = suffix_dedup.remove_repeats(odd).drop("spans").collect()

@@ -15,13 +15,19 @@ cut so that equal windows meet in one small suffix array:
    suffix array of their windows (order and common prefixes, cut at ``length``) is
    built by refinement, eight bytes at a time, of those still tied. A stack scan of
    the common prefixes gives the interval tree; each interval of at least ``length``
-   is a repeat with all its occurrences, and is left-maximal if the bytes before
-   them differ. Every occurrence but the least is a repeat.
+   is a window with all its occurrences. Every occurrence but the least is a repeat.
 4. The bytes that repeated windows cover are removed.
 
-An anchor with more than ``split_over`` contents is split by a hash of the first
-bytes of each window, so that a frequent string with many continuations is shared
-by many tasks.
+An anchor with more than ``split_over`` contents is split by a hash of each whole
+window, so that a frequent string with many continuations is shared by many tasks; of
+equal windows in a batch of documents only the first is sent on, the others are repeats
+at once. Anchors that a sample of the texts shows to be so frequent (at most HOT of
+them) are spread by content from the start. Both change the cost only.
+
+The windows that repeat are what is removed, and they are groups of equal ones, so common
+prefixes are compared up to ``length`` and this path has no use for left extensions: a
+repeat is not cut short where one can be extended. ``maximal_repeats`` gives the groups
+of a text that are maximal on both sides, with all occurrences.
 
 Stretches are told apart by two 64-bit hashes of their bytes (together 128 bits).
 
@@ -48,6 +54,8 @@ GRAM = 24
 _PLACE = 24
 #: Bytes of text hashed at once; a task holds about fifteen times as much.
 _CHUNK = 2 << 20
+#: One of SAMPLE texts is looked at for frequent anchors, of which at most HOT are told to all tasks.
+SAMPLE, HOT = 64, 50_000
 _rng = np.random.default_rng(20)
 _CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -134,8 +142,28 @@ def _unpack(blob: bytes, kind: np.dtype = _BLOB) -> np.ndarray:
     return rows
 
 
-def _scan(length: int, buckets: int):
-    """(doc, text) to packed stretches by bucket of their anchor; repeats found here have kind 1."""
+def _hot_anchors(texts: DataFrame, length: int, split_over: int, sample: int) -> np.ndarray:
+    """Anchors with so many contents in a sample of the texts that they will be split, ordered."""
+
+    def run(batches):
+        for batch in batches:
+            for text in batch.column(0):
+                data = text.as_py()
+                for at in range(0, len(data), _CHUNK):
+                    part = np.frombuffer(data[at : at + _CHUNK + length - 1], np.uint8)
+                    anchor, content, *_ = stretches(part, np.array([len(part)]), length)
+                    yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64))], ["anchor", "content"])
+
+    part = texts.where(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0).select("text").mapInArrow(run, "anchor long, content long")
+    counted, path = (space := Workspace(texts.sparkSession, "anchors")).table(part.distinct().groupBy("anchor").agg(F.count("*").alias("n")), "counts")
+    total = counted.agg(F.sum("n")).first()[0] or 0
+    found = counted.where(F.col("n") > max(1, split_over // sample, total // HOT)).select("anchor").collect()  # at most HOT
+    space.drop(path)
+    return np.sort(np.array([x.anchor for x in found], np.int64).view(np.uint64))
+
+
+def _scan(length: int, buckets: int, hot: np.ndarray):
+    """(doc, text) to packed stretches by bucket of their anchor (of a hot one: and content); repeats found here have kind 1."""
 
     def out(docs: list[tuple[int, bytes]]):
         docs.sort(key=lambda x: x[0])
@@ -150,7 +178,8 @@ def _scan(length: int, buckets: int):
         firsts = np.sort(order[first])
         again = rows[order[~first]]
         keep = rows[firsts]
-        home = (keep["anchor"] % np.uint64(buckets)).astype(np.int64)
+        place = np.where(np.isin(keep["anchor"], hot), _mix(keep["anchor"] ^ keep["content"], 5), keep["anchor"])
+        home = (place % np.uint64(buckets)).astype(np.int64)
         turn = np.argsort(home, kind="stable")
         keep, home = keep[turn], home[turn]
         cuts = np.flatnonzero(np.append(True, home[1:] != home[:-1])) if len(home) else []
@@ -199,7 +228,7 @@ def _shifted(batches, by: int):
 _FOUND = "doc long, start int, size int, anchor long, split boolean"
 
 
-def _meet(split_over: int):
+def _meet(split_over: int, hot: np.ndarray):
     """All stretches of a bucket to repeats (anchor null) and to stretches whose bytes must be compared."""
 
     def run(key, table):
@@ -210,7 +239,7 @@ def _meet(split_over: int):
         again.append(rows[order[~first]])
         held = rows[order[first]]
         _, at, times = np.unique(held["anchor"], return_inverse=True, return_counts=True)
-        many = times[at]
+        many = np.where(np.isin(held["anchor"], hot), split_over + 2, times[at])  # a hot anchor's other contents may be elsewhere
         again, held, many = np.concatenate(again), held[many > 1], many[many > 1]
         n = len(again)
         both = np.concatenate([again, held])
@@ -225,7 +254,7 @@ _PIECE = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("size",
 
 
 def _fetch(length: int, buckets: int):
-    """(doc, packed text, wanted stretches) to their bytes, with one byte before each, by bucket."""
+    """(doc, packed text, wanted stretches) to their bytes by bucket; windows found to repeat here go to buckets of their own, without bytes."""
 
     def run(batches):
         import zstandard
@@ -233,20 +262,30 @@ def _fetch(length: int, buckets: int):
         open_ = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             parts: dict[int, list] = {}
-            for doc, packed, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                text = open_(packed.as_py())
-                for x in wanted:
+            seen, again = set(), []
+            for doc, packed, wanted in sorted(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()), key=lambda x: x[0]):
+                text = open_(packed)
+                for x in sorted(wanted, key=lambda x: x["start"]):
                     start, size, anchor = x["start"], x["size"], x["anchor"] % (1 << 64)
-                    for at, n in ((start + k, 1) for k in range(size)) if x["split"] else ((start, size),):
-                        home = anchor
-                        if x["split"]:
-                            home ^= int.from_bytes(hashlib.blake2b(text[at : at + 64], digest_size=8).digest(), "little")
-                        before = text[at - 1 : at] if at else b"\0"
-                        parts.setdefault(home % buckets, []).append((anchor, doc, at, n, before + text[at : at + n - 1 + length]))
+                    if not x["split"]:
+                        parts.setdefault(anchor % buckets, []).append((anchor, doc, start, size, text[start : start + size - 1 + length]))
+                        continue
+                    for at in range(start, start + size):
+                        window = text[at : at + length]
+                        mark = hashlib.blake2b(window, digest_size=16, key=anchor.to_bytes(8, "little")).digest()
+                        if mark not in seen:
+                            seen.add(mark)
+                            parts.setdefault(int.from_bytes(mark[:8], "little") % buckets, []).append((anchor, doc, at, 1, window))
+                        elif again and again[-1][1] == doc and again[-1][2] + again[-1][3] == at and again[-1][3] < 255:
+                            again[-1][3] += 1
+                        else:
+                            again.append([anchor, doc, at, 1])
             rows = []
             for home, held in parts.items():
                 head = np.array([x[:4] for x in held], _PIECE)
                 rows.append((home, _pack(head), zstandard.ZstdCompressor(level=1).compress(b"".join(x[4] for x in held))))
+            if again:
+                rows.append((buckets + again[0][1] % buckets, _pack(np.array([tuple(x) for x in again], _PIECE)), None))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], ["bucket", "head", "data"])
 
@@ -308,16 +347,18 @@ def intervals(common: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _compare(length: int):
-    """The pieces of a bucket to the windows among them that repeat an earlier one."""
+def _compare(length: int, buckets: int):
+    """The pieces of a bucket to the windows among them that repeat an earlier one; those known to repeat as they are."""
 
     def run(key, table):
         import zstandard
 
         head = np.concatenate([_unpack(x, _PIECE) for x in table.column("head").to_pylist()])
+        if key[0].as_py() >= buckets:
+            return pa.Table.from_arrays([pa.array(head["doc"]), pa.array(head["start"]), pa.array(head["size"].astype(np.int32))], ["doc", "start", "size"])
         data = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(x) for x in table.column("data").to_pylist()), np.uint8)
         size = head["size"].astype(np.int64)
-        begin = np.concatenate([[0], np.cumsum(size + length)[:-1]]) + 1
+        begin = np.concatenate([[0], np.cumsum(size - 1 + length)[:-1]])
         piece = np.repeat(np.arange(len(head)), size)
         nth = np.arange(len(piece)) - np.repeat(np.cumsum(size) - size, size)
         starts, doc, place = begin[piece] + nth, head["doc"][piece], head["start"][piece] + nth
@@ -416,24 +457,31 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     return Workspace(spark, "repeats").table(marked.join(places, same).select("key", "doc_id", "text"), "documents")[0], False
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, split_over: int = 20_000) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (byte ranges removed), one row per row of docs."""
+def remove_repeats(docs: DataFrame, length: int = 100, split_over: int = 20_000, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (byte ranges removed), one row per row of docs.
+
+    length is from GRAM to GRAM + 254, as a stretch's windows are counted in a byte.
+    """
+    if not GRAM <= length <= GRAM + 254:
+        raise ValueError(f"length must be from {GRAM} to {GRAM + 254}")
     spark = docs.sparkSession
     bound_batches(spark)
     space = Workspace(spark, "repeats")
     rows, plain = _keyed(docs)
     texts = rows.select("key", "text")
     buckets = tasks_for(docs, 16 << 20)
-    sent = texts.mapInArrow(_scan(length, buckets), "bucket int, kind int, blob binary")
-    found, _ = space.table(sent.groupBy("bucket").applyInArrow(_meet(split_over), _FOUND), "stretches")
+    hot = _hot_anchors(texts, length, split_over, sample)
+    sent = texts.mapInArrow(_scan(length, buckets, hot), "bucket int, kind int, blob binary")
+    found, _ = space.table(sent.groupBy("bucket").applyInArrow(_meet(split_over, hot), _FOUND), "stretches")
 
     asked = found.where("anchor is not null")
     volume = asked.agg(F.sum(F.col("size") + F.when(F.col("split"), F.col("size") * length).otherwise(length))).first()[0] or 0
     wanted = asked.groupBy("doc").agg(F.collect_list(F.struct("start", "size", "anchor", "split")).alias("wanted"))
     packed = texts.mapInArrow(_packed, "key long, packed binary")
     pieces = packed.join(wanted, F.col("key") == F.col("doc")).select("key", "packed", "wanted")
-    pieces = pieces.mapInArrow(_fetch(length, max(1, -(-volume // (4 << 20)))), "bucket int, head binary, data binary")
-    more, _ = space.table(pieces.groupBy("bucket").applyInArrow(_compare(length), "doc long, start int, size int"), "windows")
+    cells = max(1, -(-volume // (4 << 20)))
+    pieces = pieces.mapInArrow(_fetch(length, cells), "bucket int, head binary, data binary")
+    more, _ = space.table(pieces.groupBy("bucket").applyInArrow(_compare(length, cells), "doc long, start int, size int"), "windows")
 
     marks = found.where("anchor is null").select("doc", "start", "size").union(more)
     marks = marks.groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("marks"))
