@@ -81,7 +81,7 @@ def test_scalars(spark):
 
 
 def test_sources_and_sinks(spark, tmp_path):
-    (tmp_path / "a.fasta").write_text(">r1 extra\nACG\nT\n>empty\n\n>r2\nGG\n")
+    (tmp_path / "a.fasta").write_text(">r1 a>b\nACG\nT\n>empty\n\n>r2\nGG\n")
     assert sorted(map(tuple, sequences.read_fasta(spark, str(tmp_path / "a.fasta")).collect())) == [("r1", "ACGT"), ("r2", "GG")]
     (tmp_path / "a.fastq").write_text("@q1 x\nAC\n+\nII\n@q2\nG\n+\nI\n")
     assert sorted((x.id, x.seq) for x in sequences.read_fastq(spark, str(tmp_path / "a.fastq")).collect()) == [("q1", "AC"), ("q2", "G")]

@@ -13,7 +13,8 @@ HSP_SCHEMA = (
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """id and seq of each record; the id ends at white space, sequence lines are joined, records without either are left out."""
-    rows = spark.read.option("lineSep", ">").text(path).where("value rlike '[^ \\\\s]'")
+    # a record begins at a line's start only; the first of a file keeps its mark
+    rows = spark.read.option("lineSep", "\n>").text(path).withColumn("value", F.regexp_replace("value", r"^\s*>", "")).where("value rlike '[^ \\\\s]'")
     head = F.regexp_extract("value", r"^([^\n]*)", 1)
     out = rows.select(F.regexp_extract(head, r"^(\S*)", 1).alias("id"), F.regexp_replace(F.expr("substring(value, instr(value, '\n') + 1)"), r"\s", "").alias("seq"))
     return out.where("id <> '' and seq <> ''")
