@@ -55,8 +55,7 @@ class Encoder:
         self.dtype, self.memo, self.sizes = dtype, {}, None
         pre = self.tokenizer.pre_tokenizer
         self.separable = self.tokenizer.normalizer is None and "ByteLevel(add_prefix_space=False" in str(pre) and "use_regex=True" in str(pre)
-        added = sorted(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.added = sorted(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
         self.by_word = None
         if self.separable:  # for new words: ids alone, so no offsets to trim, and no second memo of words
             self.by_word = Tokenizer.from_file(path)
@@ -90,8 +89,8 @@ class Encoder:
         used = set().union(*parts)
         odd = {x for x in used if not x or x != x.strip() or _RUN.search(x)}  # no run of white space is without one of these
         whole = {k for k, x in enumerate(texts) if odd and not odd.isdisjoint(parts[k]) and _RUN.search(x)}
-        if self.added:
-            whole.update(k for k, x in enumerate(texts) if self.added.search(x))
+        for token in self.added:
+            whole.update(k for k, x in enumerate(texts) if token in x)
         for k in whole:
             parts[k] = None
         if whole:
