@@ -122,3 +122,10 @@ def clean_sequence(seq) -> Column:
 def round_number(label) -> Column:
     """The last run of digits in a label."""
     return F.nullif(F.regexp_extract(_col(label), r"(\d+)\D*$", 1), F.lit("")).cast("long")
+
+
+def adapter_class(header: Column) -> Column:
+    """no_adapter where the header's first field adapter=... says so (with or without a number), else with_adapter."""
+    first = F.get(F.filter(F.split(header, r"\|"), lambda x: x.startswith("adapter=")), F.lit(0))
+    named = F.lower(F.regexp_replace(F.substring(first, 9, 1 << 20), r"(?s)\s.*$", ""))
+    return F.when(F.coalesce(named.rlike("^no_adapter(_[0-9]+)?$"), F.lit(False)), "no_adapter").otherwise("with_adapter")

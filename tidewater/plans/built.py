@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewater.functions import labels as B
 from tidewater.functions import lineages as L
+from tidewater.functions import scalars as S
+from tidewater.operators import orders as O
 from tidewater.operators import resolution as R
 from tidewater.operators import states as T
 from tidewater.operators import strict as X
+from tidewater.sources import tables as Q
 from tidewater.plans.adapters import view
 
 GENUS_FROM, SPECIES_FROM = 93, 95
@@ -75,6 +79,48 @@ def j10_consensus_cap(spark, sf_dir):
     return _told(R.cap_by_identity(whole, 91, GENUS_FROM, SPECIES_FROM), "hash", "taxid")
 
 
+def _placed(df, keys, order):
+    return df.withColumn("place", F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("long"))
+
+
+def a03_skip_done(spark, sf_dir):
+    path = F.concat(F.when(F.col("doc_id") % 2 == 0, "/in/").otherwise("/done/"), F.col("doc_id"), F.lit(".pod5"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(path.alias("path"), F.col("n_chars").cast("long").alias("size"))
+    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id")
+    ledger = toxic.select(F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("/in/"), "doc_id", F.lit(".pod5\t1\t2"))).otherwise(F.concat("doc_id", F.lit(".pod5"))).alias("value"))
+    return Q.skip_done(docs.union(docs), ledger, "/done")
+
+
+def h03_round_order(spark, sf_dir):
+    label = F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("Round"), F.col("event_id") % 12, F.lit("_b"), F.col("event_id") % 7)).otherwise("")
+    stamp = F.when(F.col("event_id") % 6 == 0, "soon").otherwise(F.concat(F.lit("2024-01-"), F.lpad((F.col("event_id") % 28 + 1).cast("string"), 2, "0"), F.lit("T10:00:00Z")))
+    rounds = view(spark, sf_dir, "rounds").select("otu", "event_id", label.alias("label"), stamp.alias("stamp"), "marker")
+    return _placed(rounds, ["otu"], [*O.round_order(F.col("label"), F.col("stamp"), F.col("marker")), "event_id"]).select("otu", "event_id", "place")
+
+
+def h04_run_order(spark, sf_dir):
+    day = lambda n: F.concat(F.lit("2024-02-"), F.lpad((F.col("o_orderkey") % n + 1).cast("string"), 2, "0"))
+    updated = F.when(F.col("o_orderkey") % 4 == 0, "").when(F.col("o_orderkey") % 4 == 1, "never").otherwise(F.concat(day(28), F.lit("T01:00:00+02:00")))
+    runs = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_custkey", F.col("o_orderkey").cast("string").alias("run_id"), updated.alias("updated"), day(20).alias("last_round"))
+    return _placed(runs, ["o_custkey"], O.run_order(F.col("updated"), F.col("last_round"), F.col("run_id"))).select("o_custkey", "run_id", "place")
+
+
+def h05_reported_order(spark, sf_dir):
+    shown = F.when(F.col("l_linenumber") == 7, "X_1").otherwise(F.concat(F.lit("OTUB_"), "l_suppkey"))
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_returnflag").alias("marker"), shown.alias("shown"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("member")).distinct()
+    return O.numbered(rows, O.reported_order(F.col("marker"), F.col("shown"), F.col("member")))
+
+
+def k11_adapter_route(spark, sf_dir):
+    return view(spark, sf_dir, "headers").select("doc_id", S.adapter_class(F.concat("header", F.lit(" runid=1|adapter=x"))).alias("route"))
+
+
+def n11_read_counts(spark, sf_dir):
+    half = F.col("doc_id") % 2 == 0
+    summary = view(spark, sf_dir, "reads").groupBy(F.col("sample").alias("sample_name"), F.when(half, F.concat("sample", F.lit("-t"))).alias("track_sample_label"), (F.col("doc_id") % 3).alias("track_replicate_suffix"), F.lit("x").alias("replicate"), F.col("marker").alias("barcode"), F.col("model").alias("basecalling_model")).agg(F.count("*").alias("read_count"))
+    return O.read_counts(summary)
+
+
 def c_lineages(spark, sf_dir):
     rows = view(spark, sf_dir, "lineage").withColumn("text", F.concat_ws(";", F.concat(F.lit("k__"), F.col("kingdom")), F.concat(F.lit("F__"), F.col("family")), F.concat(F.lit("g__"), F.col("genus")), F.concat(F.lit("s__"), F.col("species"))))
     ranks = L.canonical_lineage("text")
@@ -267,4 +313,12 @@ BUILT = {
     "o08_aggregate_invariants": (o08_aggregate_invariants, "SELECT c_custkey AS o_custkey, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS found FROM customer WHERE (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) <> c_custkey % 12"),
     "o10_partition": (o10_partition, "SELECT p_partkey AS k, ((p_size < 20)::int + (p_size > 18)::int + (p_size = 50)::int)::bigint AS parts FROM part WHERE p_size IN (19, 50)"),
     "l21_unassigned_status": (l21_unassigned_status, "SELECT DISTINCT round, mode, CASE WHEN mode = 'off' THEN 'mode_off' WHEN round < 6 THEN 'grace' WHEN mode = 'observe' THEN 'observe' ELSE 'applied' END AS status FROM (SELECT round, CASE marker WHEN 'error' THEN 'off' WHEN 'click' THEN 'observe' ELSE 'apply' END AS mode FROM rounds)"),
+    "a03_skip_done": (a03_skip_done, """SELECT DISTINCT CASE WHEN doc_id % 2 = 0 THEN '/in/' ELSE '/done/' END || doc_id || '.pod5' AS path, n_chars::bigint AS size FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.toxic = 1 AND l.doc_id = d.doc_id)"""),
+    "h03_round_order": (h03_round_order, """SELECT otu, event_id, row_number() OVER (PARTITION BY otu ORDER BY event_id % 3 = 0, CASE WHEN event_id % 3 <> 0 THEN event_id % 12 END, CASE WHEN event_id % 3 <> 0 THEN event_id % 7 END,
+ CASE WHEN event_id % 6 = 0 THEN 99 WHEN event_id % 3 = 0 THEN event_id % 28 END, marker, event_id) AS place FROM rounds"""),
+    "h04_run_order": (h04_run_order, """SELECT o_custkey, o_orderkey::varchar AS run_id, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderkey % 4 WHEN 1 THEN NULL WHEN 0 THEN 24 * (o_orderkey % 20) ELSE 24 * (o_orderkey % 28) - 1 END DESC NULLS LAST, o_orderkey::varchar) AS place FROM orders"""),
+    "h05_reported_order": (h05_reported_order, """SELECT *, row_number() OVER (ORDER BY marker, CASE WHEN shown = 'X_1' THEN 0 ELSE substr(shown, 6)::bigint END, member) AS place
+ FROM (SELECT DISTINCT l_returnflag AS marker, CASE WHEN l_linenumber = 7 THEN 'X_1' ELSE 'OTUB_' || l_suppkey END AS shown, l_orderkey || '-' || l_linenumber AS member FROM lineitem)"""),
+    "k11_adapter_route": (k11_adapter_route, "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'no_adapter' ELSE 'with_adapter' END AS route FROM documents"),
+    "n11_read_counts": (n11_read_counts, "SELECT CASE WHEN doc_id % 2 = 0 THEN sample || '-t' ELSE '' END AS sample, (doc_id % 3)::varchar AS replicate, marker AS barcode, count(*) AS reads FROM reads WHERE model = 'hac' GROUP BY 1, 2, 3"),
 }

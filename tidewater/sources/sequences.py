@@ -21,9 +21,13 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
-    """file, place of the line in its file, and value."""
-    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("place", "value"))
-    return lines.withColumn("value", F.regexp_replace("value", "\r$", ""))
+    """file, place of the line in its file, and value; lines are counted a block of a file at a time, so that files are split."""
+    block = (F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    lines = spark.read.text(path).select(*block, "value", F.monotonically_increasing_id().alias("nth"))
+    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    bases = lines.groupBy("file", "block").count().select("file", "block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    own = F.row_number().over(W.partitionBy("file", "block").orderBy("nth"))
+    return lines.withColumn("own", own).join(bases, ["file", "block"]).select("file", (F.col("base") + F.col("own") - 1).alias("place"), "value")
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
@@ -37,13 +41,11 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_clusters(spark: SparkSession, path: str) -> DataFrame:
-    """cluster, member and is_rep of a .clstr file."""
-    lines = _numbered(spark, path).where("value <> ''")
-    number = F.regexp_extract("value", r"^>Cluster (\d+)", 1)
-    order = W.partitionBy("file").orderBy("place")
-    marked = lines.withColumn("cluster", F.last(F.when(number != "", number.cast("long")), ignorenulls=True).over(order))
-    members = marked.where(~F.col("value").startswith(">"))
-    return members.select("cluster", F.regexp_extract("value", r">(.+?)\.\.\.", 1).alias("member"), F.col("value").endswith("*").alias("is_rep"))
+    """cluster, member and is_rep of a .clstr file; a cluster's lines are read as one record, so that files are split between clusters."""
+    rows = spark.read.option("lineSep", "\n>Cluster ").text(path).withColumn("value", F.regexp_replace("value", r"^\s*>Cluster ", ""))
+    lines = rows.select(F.regexp_extract("value", r"^(\d+)", 1).alias("cluster"), F.explode(F.split("value", r"\r?\n")).alias("line"))
+    members = lines.where("cluster <> '' and instr(line, '>') > 0")
+    return members.select(F.col("cluster").cast("long").alias("cluster"), F.regexp_extract("line", r">(.+?)\.\.\.", 1).alias("member"), F.col("line").endswith("*").alias("is_rep"))
 
 
 def read_hsps(spark: SparkSession, path: str) -> DataFrame:
