@@ -12,6 +12,7 @@ from tidewater.operators import orders as O
 from tidewater.operators import resolution as R
 from tidewater.operators import states as T
 from tidewater.operators import strict as X
+from tidewater.sources import metadata as M
 from tidewater.sources import tables as Q
 from tidewater.plans.adapters import view
 
@@ -111,6 +112,29 @@ def h05_reported_order(spark, sf_dir):
     return O.numbered(rows, O.reported_order(F.col("marker"), F.col("shown"), F.col("member")))
 
 
+def k04_merge_renumber(spark, sf_dir):
+    groups = view(spark, sf_dir, "members").select("otu", F.when(F.col("otu") % 2 == 0, "A").otherwise("F").alias("origin")).distinct()
+    return O.numbered(groups, [F.col("origin").asc(), F.col("otu").asc()]).select("otu", "origin", (F.col("place") - 1).alias("cluster"))
+
+
+def l13_feeder_slices(spark, sf_dir):
+    placed = O.numbered(view(spark, sf_dir, "rounds").select("event_id"), [F.col("event_id").asc()])
+    return placed.select("event_id", F.floor((F.col("place") - 1) / 500).alias("slice"))
+
+
+def a16_run_rows(spark, sf_dir):
+    k = F.col("doc_id")
+    name = F.when(k % 7 == 0, "a b").when(k % 7 == 1, F.concat(F.lit("No_adapter_"), k % 3)).otherwise(F.concat(F.lit("s"), k))
+    code = F.when(k % 4 == 0, "p/|1").otherwise("p1")
+    copy = F.when(k % 5 == 0, None).when(k % 5 == 1, "r_1").otherwise("r1")
+    well, plate = F.concat(F.lit("A"), k % 12), F.concat(F.lit("P"), k % 4)
+    demult = F.when(k % 6 == 0, ">x").otherwise(F.concat(F.lit(">"), well, F.lit("_"), plate))
+    cells = zip((name, code, copy, well, plate, F.col("source"), demult), M.MANDATORY)
+    sheet = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", *[x.alias(y) for x, y in cells])
+    runs = [r[0] for r in sheet.agg(F.min("Run")).collect()]
+    return M.select_run(sheet, runs[0], strict=False).select("doc_id", "unit", "problems")
+
+
 def k11_adapter_route(spark, sf_dir):
     return view(spark, sf_dir, "headers").select("doc_id", S.adapter_class(F.concat("header", F.lit(" runid=1|adapter=x"))).alias("route"))
 
@@ -321,4 +345,10 @@ BUILT = {
  FROM (SELECT DISTINCT l_returnflag AS marker, CASE WHEN l_linenumber = 7 THEN 'X_1' ELSE 'OTUB_' || l_suppkey END AS shown, l_orderkey || '-' || l_linenumber AS member FROM lineitem)"""),
     "k11_adapter_route": (k11_adapter_route, "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'no_adapter' ELSE 'with_adapter' END AS route FROM documents"),
     "n11_read_counts": (n11_read_counts, "SELECT CASE WHEN doc_id % 2 = 0 THEN sample || '-t' ELSE '' END AS sample, (doc_id % 3)::varchar AS replicate, marker AS barcode, count(*) AS reads FROM reads WHERE model = 'hac' GROUP BY 1, 2, 3"),
+    "k04_merge_renumber": (k04_merge_renumber, "SELECT otu, origin, CAST(dense_rank() OVER (ORDER BY origin, otu) - 1 AS BIGINT) AS cluster FROM (SELECT DISTINCT otu, CASE WHEN otu % 2 = 0 THEN 'A' ELSE 'F' END AS origin FROM members) AS x"),
+    "l13_feeder_slices": (l13_feeder_slices, "SELECT event_id, CAST(floor((before) / 500) AS BIGINT) AS slice FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS before FROM rounds) AS x"),
+    "a16_run_rows": (a16_run_rows, """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 THEN 'r_1' ELSE 'r1' END || '_A' || doc_id % 12 || '_P' || doc_id % 4 AS unit, concat_ws('; ',
+ CASE WHEN doc_id % 5 = 0 THEN 'Replicate is empty' END, CASE WHEN doc_id % 5 = 1 THEN 'Replicate must not contain whitespace or _' END, CASE WHEN doc_id % 7 = 0 THEN 'Sample_ID must not contain whitespace' END,
+ CASE WHEN doc_id % 7 = 1 THEN 'Sample_ID must not use reserved no_adapter identity' END, CASE WHEN doc_id % 4 = 0 THEN 'Pipeline_ID must not contain |; Pipeline_ID must not contain /' END,
+ CASE WHEN doc_id % 6 = 0 THEN 'demult_id must equal >A' || doc_id % 12 || '_P' || doc_id % 4 END) AS problems FROM documents WHERE source = (SELECT min(source) FROM documents)"""),
 }

@@ -95,7 +95,6 @@ PLANS = {
     "j15_sample_mode": "SELECT sample, CASE WHEN max(CASE WHEN doc_id % 5 <> 0 THEN 1 ELSE 0 END) = 1 THEN 'barcoded' ELSE 'no_adapter_only' END AS mode FROM reads GROUP BY sample",
     # clustering
     "k01_new_by_hash": "SELECT seq_hash, doc_id FROM (SELECT md5(seq) AS seq_hash, doc_id, row_number() OVER (PARTITION BY md5(seq) ORDER BY doc_id) AS nth FROM reads) AS x WHERE nth = 1 AND NOT EXISTS (SELECT 1 FROM reads o WHERE o.doc_id < 100 AND md5(o.seq) = x.seq_hash)",
-    "k04_merge_renumber": "SELECT otu, origin, CAST(dense_rank() OVER (ORDER BY origin, otu) - 1 AS BIGINT) AS cluster FROM (SELECT DISTINCT otu, CASE WHEN otu % 2 = 0 THEN 'A' ELSE 'F' END AS origin FROM members) AS x",
     "k13_exact_groups": "SELECT md5(seq) AS seq_hash, count(*) AS n, min(doc_id) AS first_id FROM reads GROUP BY md5(seq)",
     # rounds
     "l01_round_index": "SELECT round, CAST(dense_rank() OVER (ORDER BY round) AS BIGINT) AS round_index FROM (SELECT DISTINCT round FROM rounds) AS x",
@@ -103,7 +102,6 @@ PLANS = {
     "l04_sticky_state": "SELECT otu, max(CASE WHEN marker = 'purchase' THEN 1 ELSE 0 END) = 1 AS on_target, max_by(marker, event_id) AS last_marker FROM rounds GROUP BY otu",
     "l08_grace_windows": "SELECT round, CASE WHEN round <= 3 THEN 'skipped' WHEN round <= 6 THEN 'grace' ELSE 'enforced' END AS state, count(*) AS n FROM rounds GROUP BY 1, 2",
     "l11_run_freshness": "SELECT otu, age, cadence, CASE WHEN cadence IS NULL THEN 'Unknown' WHEN age <= 1.5 * cadence THEN 'Fresh' WHEN age <= 3 * cadence THEN 'Aging' ELSE 'Stale' END AS status FROM (SELECT otu, 31 - round AS age, round - previous AS cadence FROM (SELECT otu, round, lag(round) OVER (PARTITION BY otu ORDER BY round) AS previous, row_number() OVER (PARTITION BY otu ORDER BY round DESC) AS nth FROM (SELECT DISTINCT otu, round FROM rounds) AS d) AS y WHERE nth = 1) AS x",
-    "l13_feeder_slices": "SELECT event_id, CAST(floor((before) / 500) AS BIGINT) AS slice FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS before FROM rounds) AS x",
     "l19_sparse_marker_rescue": "SELECT r.read_id, r.marker FROM reads r JOIN (SELECT marker, count(CASE WHEN len > 4000 THEN 1 END) AS kept FROM reads GROUP BY marker) c ON r.marker = c.marker WHERE r.len > 4000 OR c.kept < 60",
     # reports
     "n01_read_fate": "SELECT status, count(*) AS n FROM (SELECT o.o_orderkey, CASE WHEN m.read_id IS NULL THEN 'off_target' WHEN o.o_orderstatus = 'P' THEN 'skipped' WHEN o.o_totalprice < 50000 THEN 'not_demultiplexed' ELSE 'assigned' END AS status FROM orders o LEFT JOIN (SELECT DISTINCT read_id FROM members) m ON o.o_orderkey = m.read_id) AS x GROUP BY status",
