@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewater.functions.scalars import _col, trim_text
+from tidewater.functions.scalars import _col, bound, trim_text
 
 RANKS = ("kingdom", "phylum", "class", "order", "family", "genus", "species")
 #: The prefix letter of each rank, and how it is written in a lineage's text. Fixed values.
@@ -15,23 +15,26 @@ NA = "NA"
 
 def known(name) -> Column:
     """Null for a blank, NA or unassigned name."""
-    trimmed = trim_text(name)
-    return F.when(~F.lower(trimmed).isin("", "na", "unassigned"), trimmed)
+    return bound(trim_text(name), lambda trimmed: F.when(~F.lower(trimmed).isin("", "na", "unassigned"), trimmed))
 
 
 def canonical_lineage(text) -> Column:
     """The seven names of a lineage's text: prefixed parts in rising order of rank, or just seven bare parts; null for any other."""
-    whole = trim_text(text)
-    parts = F.transform(F.split(whole, ";", -1), trim_text)
-    prefixed = whole.rlike(r"(^|;)\s*[A-Za-z]__")
     letter = lambda p: F.position(F.lower(F.substring(p, 1, 1)), F.lit(PREFIXES)).cast("int") - 1
-    places = F.transform(parts, lambda p: F.when(p.rlike("(?i)^[kpcofgs]__"), letter(p)).otherwise(-1))
-    rising = (F.array_min(places) >= 0) & (F.array_sort(F.array_distinct(places)) == places)
-    name = lambda i: F.get(parts, F.array_position(places, i).cast("int") - 1)
-    by_prefix = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.coalesce(known(F.substring(name(i), 4, 1 << 20)), F.lit(NA)))
-    bare = F.transform(parts, lambda p: F.coalesce(known(p), F.lit(NA)))
-    names = F.when(prefixed & rising, by_prefix).when(~prefixed & (F.size(parts) == 7), bare)
-    return F.when(known(whole).isNotNull() & ~F.exists(names, lambda x: x.rlike(r"[\t\r\n\x00]")), names)
+    place = lambda p: F.when(p.rlike("(?i)^[kpcofgs]__"), letter(p)).otherwise(-1)
+
+    def by_prefix(parts: Column, places: Column) -> Column:
+        name = lambda i: F.get(parts, F.array_position(places, i).cast("int") - 1)
+        names = F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: F.coalesce(known(F.substring(name(i), 4, 1 << 20)), F.lit(NA)))
+        return F.when((F.array_min(places) >= 0) & (F.array_sort(F.array_distinct(places)) == places), names)
+
+    def named(whole: Column, parts: Column) -> Column:
+        bare = F.when(F.size(parts) == 7, F.transform(parts, lambda p: F.coalesce(known(p), F.lit(NA))))
+        prefixed = bound(F.transform(parts, place), lambda places: by_prefix(parts, places))
+        names = F.when(whole.rlike(r"(^|;)\s*[A-Za-z]__"), prefixed).otherwise(bare)
+        return bound(names, lambda x: F.when(known(whole).isNotNull() & ~F.exists(x, lambda y: y.rlike(r"[\t\r\n\x00]")), x))
+
+    return bound(trim_text(text), lambda whole: bound(F.transform(F.split(whole, ";", -1), trim_text), lambda parts: named(whole, parts)))
 
 
 def lineage_text(ranks) -> Column:
@@ -50,21 +53,20 @@ def cut_to(ranks, depth) -> Column:
 
 def conflicts(a, b) -> Column:
     """Places where both lineages have a name and these differ, '_' being a space."""
-    a, b, plain = _col(a), _col(b), lambda x: F.translate(x, "_", " ")
-    return F.filter(F.sequence(F.lit(0), F.lit(6)), lambda i: (a[i] != NA) & (b[i] != NA) & (plain(a[i]) != plain(b[i])))
+    plain = lambda x: F.translate(x, "_", " ")
+    differ = lambda x, y: (x != NA) & (y != NA) & (plain(x) != plain(y))
+    return bound(a, lambda a: bound(b, lambda b: F.filter(F.sequence(F.lit(0), F.lit(6)), lambda i: differ(a[i], b[i]))))
 
 
 def one_sided(a, b) -> Column:
     """Places where one lineage alone has a name."""
-    a, b = _col(a), _col(b)
-    return F.filter(F.sequence(F.lit(0), F.lit(6)), lambda i: (a[i] == NA) != (b[i] == NA))
+    return bound(a, lambda a: bound(b, lambda b: F.filter(F.sequence(F.lit(0), F.lit(6)), lambda i: (a[i] == NA) != (b[i] == NA))))
 
 
 def is_assigned_lineage(text) -> Column:
     """Whether any part of a lineage is neither blank nor unassigned, with or without a prefix."""
-    whole = trim_text(text)
-    empty = lambda p: F.lower(trim_text(p)).rlike(r"^([a-z]__)?unassigned$") | (trim_text(p) == "")
-    return (whole != "") & (F.upper(whole) != NA) & F.exists(F.split(whole, ";"), lambda p: ~empty(p))
+    empty = lambda p: F.lower(trim_text(p)).rlike(r"^(([a-z]__)?unassigned)?$")
+    return bound(trim_text(text), lambda whole: (whole != "") & (F.upper(whole) != NA) & F.exists(F.split(whole, ";"), lambda p: ~empty(p)))
 
 
 def lineage_rank(text, prefix: str) -> Column:

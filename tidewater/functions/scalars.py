@@ -10,6 +10,11 @@ def _col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def bound(x, use) -> Column:
+    """use(x) with x evaluated once: an expression that a lambda refers to is otherwise evaluated anew for each element and mention."""
+    return F.get(F.transform(F.array(_col(x)), use), F.lit(0))
+
+
 def trim_text(x) -> Column:
     """'' for null; white space of any kind stripped from both ends."""
     return F.regexp_replace(F.coalesce(_col(x), F.lit("")), r"^\s+|\s+$", "")

@@ -147,8 +147,8 @@ def n11_read_counts(spark, sf_dir):
 
 def c_lineages(spark, sf_dir):
     rows = view(spark, sf_dir, "lineage").withColumn("text", F.concat_ws(";", F.concat(F.lit("k__"), F.col("kingdom")), F.concat(F.lit("F__"), F.col("family")), F.concat(F.lit("g__"), F.col("genus")), F.concat(F.lit("s__"), F.col("species"))))
-    ranks = L.canonical_lineage("text")
-    return rows.select("subject", L.lineage_text(ranks).alias("lineage"), L.lineage_depth(ranks).cast("long").alias("depth"), L.is_assigned_lineage("text").alias("assigned"), L.lineage_rank("text", "g__").alias("genus"), F.size(L.conflicts(ranks, L.cut_to(ranks, F.lit(4)))).cast("long").alias("conflicts"), F.size(L.one_sided(ranks, L.cut_to(ranks, F.lit(4)))).cast("long").alias("one_sided"))
+    rows = rows.withColumn("ranks", L.canonical_lineage("text")).withColumn("cut", L.cut_to("ranks", F.lit(4)))
+    return rows.select("subject", L.lineage_text("ranks").alias("lineage"), L.lineage_depth("ranks").cast("long").alias("depth"), L.is_assigned_lineage("text").alias("assigned"), L.lineage_rank("text", "g__").alias("genus"), F.size(L.conflicts("ranks", "cut")).cast("long").alias("conflicts"), F.size(L.one_sided("ranks", "cut")).cast("long").alias("one_sided"))
 
 
 def c_labels(spark, sf_dir):
