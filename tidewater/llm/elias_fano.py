@@ -3,7 +3,7 @@
 n values below u take about n * (2 + log2(u / n)) bits: the low bits of each
 value are packed, the high bits are a unary bit vector. ``select`` finds the
 i-th value from a sparse directory (one 32-bit entry for SAMPLE ones) and a scan
-of a few bytes, so no table of 64-bit offsets is ever stored or built.
+of a few words, so no table of 64-bit offsets is ever stored or built.
 """
 
 from __future__ import annotations
@@ -14,12 +14,12 @@ import numpy as np
 
 SAMPLE = 256
 _HEAD = struct.Struct("<QBQQ")
-_ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(1).astype(np.int64)
 
 
 class EliasFano:
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, directory: np.ndarray):
         self.n, self.low_bits, self.low, self.high, self.directory = n, low_bits, low, high, directory
+        self._low_bytes, self._high_bytes = low.tobytes(), high.tobytes()
 
     @classmethod
     def encode(cls, values) -> EliasFano:
@@ -41,7 +41,7 @@ class EliasFano:
         if not self.low_bits:
             return 0
         first, last = i * self.low_bits, (i + 1) * self.low_bits
-        piece = int.from_bytes(self.low[first // 8 : (last + 7) // 8].tobytes(), "little")
+        piece = int.from_bytes(self._low_bytes[first // 8 : (last + 7) // 8], "little")
         return (piece >> (first % 8)) & ((1 << self.low_bits) - 1)
 
     def select(self, i: int) -> int:
@@ -50,14 +50,21 @@ class EliasFano:
             raise IndexError(i)
         at, left = int(self.directory[i // SAMPLE]), i % SAMPLE
         byte, skip = at // 8, at % 8
-        left += int(_ONES[int(self.high[byte]) & ((1 << skip) - 1)])
-        while (here := int(_ONES[self.high[byte]])) <= left:
+        word = int.from_bytes(self._high_bytes[byte : byte + 8], "little") >> skip << skip
+        while (here := word.bit_count()) <= left:
             left -= here
-            byte += 1
-        bits = int(self.high[byte])
+            byte += 8
+            word = int.from_bytes(self._high_bytes[byte : byte + 8], "little")
+        one = byte * 8
+        for half in (32, 16, 8):
+            first = word & ((1 << half) - 1)
+            if (here := first.bit_count()) <= left:
+                left, word, one = left - here, word >> half, one + half
+            else:
+                word = first
         for _ in range(left):
-            bits &= bits - 1
-        one = byte * 8 + (bits & -bits).bit_length() - 1
+            word &= word - 1
+        one += (word & -word).bit_length() - 1
         return ((one - i) << self.low_bits) | self._low(i)
 
     def decode(self) -> np.ndarray:

@@ -13,10 +13,12 @@ hash of the text; an empty table gives no shard; other columns are not read.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
-from itertools import chain
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,8 @@ MAGIC, TRAILER = b"TIDEIDS1", "TIDE-END"
 _HEAD = struct.Struct("<8sIQQQQqQ")
 #: Where the split at single spaces could divide a run of white space that the tokenizer takes as one piece.
 _RUN = re.compile(r"\s\s(?:\s|\Z)|[\x1c-\x1f]")
-#: Words remembered by each task, characters of text encoded together, and words in one call of the tokenizer.
-_MEMO_ENTRIES, _GROUP_CHARS, _CALL_WORDS = 400_000, 1 << 22, 100
+#: Words remembered by each Python worker, characters of text encoded together, and words in one call of the tokenizer.
+_MEMO_ENTRIES, _GROUP_CHARS, _CALL_WORDS = 1_000_000, 1 << 22, 50
 
 
 class Encoder:
@@ -76,7 +78,8 @@ class Encoder:
         found = (self.by_word.encode_batch_fast([x], add_special_tokens=False)[0].ids for x in texts)
         ids = np.fromiter(chain.from_iterable(found), self.dtype)
         reached = np.cumsum(self.sizes[ids])
-        wanted = np.cumsum([(len(x) if x.isascii() else len(x.encode("utf-8", "surrogatepass"))) + 1 for x in words])
+        spaced = np.frombuffer(" ".join([*words, ""]).encode("utf-8", "surrogatepass"), np.uint8)
+        wanted = np.flatnonzero(spaced == ord(" ")) + 1  # a word holds no space
         cuts = (ids.itemsize * (np.searchsorted(reached, wanted) + 1)).tolist()
         data = ids.tobytes()
         return {x: data[a:b] for x, a, b in zip(words, [0, *cuts], cuts)}
@@ -85,34 +88,54 @@ class Encoder:
         """The id bytes of each text; words that are new to the memo are encoded once for all texts."""
         if not self.separable:
             return [self._whole(x) if x else b"" for x in texts]
-        parts: list[list[str] | None] = [x.split(" ") for x in texts]
-        used = set().union(*parts)
-        odd = {x for x in used if not x or x != x.strip() or _RUN.search(x)}  # no run of white space is without one of these
-        whole = {k for k, x in enumerate(texts) if odd and not odd.isdisjoint(parts[k]) and _RUN.search(x)}
+        parts, get = [x.split(" ") for x in texts], self.memo.get
+        found = [list(map(get, own)) for own in parts]  # what a word encodes to is never empty
+        missing = [list(compress(own, map(not_, held))) for own, held in zip(parts, found)]
+        new = set().union(*missing)
+        rest = new.difference(" ".join(new).split())  # the words that are empty or hold white space
+        odd = {x for x in rest if not x or x != x.strip() or _RUN.search(x)}  # no run of white space is without one of these
+        whole = {k for k, x in enumerate(texts) if odd and not odd.isdisjoint(missing[k]) and _RUN.search(x)}
         for token in self.added:
             whole.update(k for k, x in enumerate(texts) if token in x)
-        for k in whole:
-            parts[k] = None
         if whole:
-            used = set().union(*(x for x in parts if x is not None))
-        memo = self.memo
-        new = used - memo.keys()
-        if len(memo) + len(new) > _MEMO_ENTRIES:
-            memo = self.memo = {x: memo[x] for x in used - new}
+            new = set().union(*(x for k, x in enumerate(missing) if k not in whole))
         plain = list(new - odd)
-        if plain:
-            memo.update(self._parts(plain))
-        memo.update((x, self._whole(" " + x)) for x in new & odd)
-        known = memo.__getitem__
-        return [
-            (self._whole(x) if x else b"") if own is None else (self._whole(own[0]) if own[0] else b"") + b"".join(map(known, own[1:]))
-            for x, own in zip(texts, parts)
-        ]
+        fresh = self._parts(plain) if plain else {}
+        if len(self.memo) + len(fresh) > _MEMO_ENTRIES:
+            used = set().union(*(x for k, x in enumerate(parts) if k not in whole))
+            self.memo = {x: self.memo[x] for x in used & self.memo.keys()}
+        self.memo.update(fresh)
+        fresh.update((x, self._whole(" " + x)) for x in new & odd)  # not remembered, so that they are seen in every text
+        out = []
+        for k, (text, own, held, gaps) in enumerate(zip(texts, parts, found, missing)):
+            if k in whole:
+                out.append(self._whole(text))
+                continue
+            at = -1
+            for word in gaps:
+                at = held.index(None, at + 1)
+                held[at] = fresh[word]
+            held[0] = self._whole(own[0]) if own[0] else b""  # the one without a space before it
+            out.append(b"".join(held))
+        return out
 
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
 
+_ENCODERS: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str, dtype: str) -> Encoder:
+    """The process's encoder of a tokenizer file: tasks that follow one another in a Python worker share its words."""
+    state = os.stat(path)
+    key = (path, state.st_mtime_ns, state.st_size, dtype)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()  # one at a time
+        _ENCODERS[key] = Encoder(path, dtype)
+    return _ENCODERS[key]
+
+
 def _groups(batches):
     """(doc_ids, texts) of the rows in order, about _GROUP_CHARS characters at a time."""
     ids, texts, chars = [], [], 0
@@ -145,10 +168,10 @@ def write_token_shards(
     end = np.array([end_id], dtype).tobytes()
 
     def run(batches):
-        encoder, part = Encoder(tokenizer, dtype), TaskContext.get().partitionId()
+        encode_all, part = encoder(tokenizer, dtype).encode_all, TaskContext.get().partitionId()
         seq, total, ids, ends, data = 0, 0, [], [], []
         for held, texts in _groups(batches):
-            for doc_id, one in zip(held, encoder.encode_all(texts)):
+            for doc_id, one in zip(held, encode_all(texts)):
                 one += end
                 ids.append(doc_id)
                 data.append(one)
@@ -192,9 +215,9 @@ _ROWS = "part long, seq long, doc_id long, local long, n_tokens long, ids_crc32
 def _digests(batches):
     for batch in batches:
         for blob in batch.column(0):
-            shard, rows = Shard(blob.as_py()), []
+            shard, rows, end = Shard(blob.as_py()), [], 0
             for i in range(shard.n):
-                start, end = shard.span(i)
+                start, end = end, shard.bounds.select(i)
                 rows.append((*shard.place, shard.doc_id(i), start, end - start, zlib.crc32(shard.ids[start:end].astype("<u4"))))
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], [x.split()[0] for x in _ROWS.split(", ")])
 
