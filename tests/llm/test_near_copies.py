@@ -88,3 +88,24 @@ def test_one_row_of_each_component_stays(spark):
         got = sorted((x.doc_id is None, x.doc_id or 0, (x.text or "")) for x in kept)
         assert [x[:2] for x in got] == sorted(min(x[:2] for x in group) for group in least.values())
         assert all(any((*x[:2], x[2]) in [(*y[:2], y[2] or "") for y in group] for group in least.values()) for x in got)
+
+
+def test_simhash_meets_the_pairs_it_can_reach(spark, monkeypatch):
+    words = [f"w{k}" for k in range(900)]
+    texts = [" ".join([*words[:at], f"new{at}", *words[at + 1 :]]) for at in range(0, 900, 75)] + [" ".join(words[::-1]), "alone", None]
+    rows, asked = list(enumerate(texts)), []
+
+    def recorded(prints, within):
+        pairs = hamming_pairs(prints, within)
+        asked.append(({x[0] for x in prints.collect()}, within, {tuple(x) for x in pairs.collect()}))
+        return pairs
+
+    hamming_pairs = near_copies.hamming_pairs
+    monkeypatch.setattr(near_copies, "hamming_pairs", recorded)
+    found = _roots(spark, rows)
+    assert sorted(map(len, found)) == [1, 1, 1, 12]
+    prints = {near_copies.majority(near_copies.shingle_set(t.encode() if t else None)) for t in texts}
+    signed = {x - (1 << 64) if x >> 63 else x for x in prints}
+    (got, within, pairs), = asked
+    assert got == signed
+    assert pairs == {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= within} and pairs

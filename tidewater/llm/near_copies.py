@@ -1,15 +1,20 @@
 """Near copies of whole texts: all pairs whose word-shingle sets have Jaccard similarity of at least ``likeness``.
 
-The shingle sets of texts are met by prefix filtering. In any one order of all
-shingles, two sets that are so similar share a shingle among the first
-n - ceil(likeness * n) + 1 of each, so an equi-join on these finds every pair. The
-order is by hash, with shingles that are frequent in a sample last; that changes the
-cost only. A pair must then agree in size, pass a bound (the parities of hash classes
+Candidates come from SimHash: the fingerprints of the shingle sets are met by pigeonring
+chains (tidewater.llm.simhash) within ``within`` bits, and the texts of each pair are
+compared exactly. No radius with keys of use reaches every pair (sets at likeness 0.8
+differ in some 10 of 64 bits, where a chain's key would have five), so what lies farther
+apart has an exact way of its own: components that SimHash leaves apart are met by prefix
+filtering. In any one order of all shingles, two sets that are so similar share a shingle
+among the first n - ceil(likeness * n) + 1 of each, so an equi-join on these finds every
+pair. The order is by hash, with shingles that are frequent in a sample last; that changes
+the cost only. A pair must then agree in size, pass a bound (the parities of hash classes
 differ in no more places than the sets: of SMALL * 64 classes within the join, of
 PARITY or more after it) and the similarity itself.
 
-Equal sets are one class with one row in the search. Within the classes that share
-a shingle each is first compared with the least one; the others only where their
+Equal sets are one class with one row in the search; of the classes of one fingerprint the
+least stands for all. Within the classes that share a shingle each is first compared with
+the least one unless SimHash has linked them; the others only where their
 components still differ, so that a large group of near copies costs one comparison
 a member and shingle. Components are those of all pairs.
 
@@ -29,6 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewater.llm.blobs import bound_batches, fresh
+from tidewater.llm.simhash import hamming_pairs, majority
 from tidewater.operators.graph import connected_components
 from tidewater.workspace import Workspace
 
@@ -80,7 +86,7 @@ def _frequent(texts: DataFrame, shingle: int) -> np.ndarray:
     return np.sort(counts.orderBy(F.desc("n"), "key").limit(MOST_FREQUENT).select("key").toArrow().column(0).to_numpy())
 
 
-_SKETCH = "doc_id long, _row string, id long, size int, parity array<long>, prefix array<long>"
+_SKETCH = "doc_id long, _row string, id long, fp long, size int, parity array<long>, prefix array<long>"
 
 
 def _sketches(shingle: int, likeness: float, frequent: np.ndarray):
@@ -88,7 +94,7 @@ def _sketches(shingle: int, likeness: float, frequent: np.ndarray):
 
     def run(batches):
         for batch in batches:
-            ids, sizes, parities, prefixes = [], [], [], []
+            ids, prints, sizes, parities, prefixes = [], [], [], [], []
             for text in batch.column(2):
                 held = shingle_set(text.as_py(), shingle)
                 n = len(held)
@@ -96,11 +102,12 @@ def _sketches(shingle: int, likeness: float, frequent: np.ndarray):
                 odd = np.bincount(held & (width - 1), minlength=width) & 1
                 last = np.isin(held, frequent, assume_unique=True)
                 ids.append(xxh3_64_intdigest(held.tobytes()))
+                prints.append(majority(held))
                 sizes.append(n)
                 parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 first = np.concatenate([held[~last], held[last]])[: n - least_shared(n, likeness) + 1]
                 prefixes.append(first & KEY)  # equal keys of unequal shingles only add pairs to compare
-            arrays = [pa.array(np.array(ids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), *(pa.array(x, pa.list_(pa.int64())) for x in (parities, prefixes))]
+            arrays = [*(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (ids, prints)), pa.array(sizes, pa.int32()), *(pa.array(x, pa.list_(pa.int64())) for x in (parities, prefixes))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], [x.split()[0] for x in _SKETCH.split(", ")])
 
     return run
@@ -138,7 +145,16 @@ def _similar(likeness: float):
     return run
 
 
-def components(docs: DataFrame, likeness: float = 0.8, shingle: int = 5, most_shipped: int = 500_000, slice_of: int = 256) -> DataFrame:
+def _fingerprint_pairs(classes: DataFrame, within: int) -> DataFrame:
+    """Pairs (src, dst) of class ids whose fingerprints are equal or within so many bits, the least id standing for those of one fingerprint."""
+    firsts = classes.groupBy("fp").agg(F.min("id").alias("first"))
+    equal = classes.join(firsts, "fp").where(F.col("id") != F.col("first")).select(F.col("first").alias("src"), F.col("id").alias("dst"))
+    of = [firsts.select(F.col("fp").alias(x), F.col("first").alias(f"{x}_id")) for x in ("src", "dst")]
+    near = hamming_pairs(firsts.select("fp"), within).join(of[0], "src").join(of[1], "dst")
+    return equal.union(near.select(F.col("src_id").alias("src"), F.col("dst_id").alias("dst")))
+
+
+def components(docs: DataFrame, likeness: float = 0.8, shingle: int = 5, within: int = 3, most_shipped: int = 500_000, slice_of: int = 256) -> DataFrame:
     """doc_id, _row and root (equal for the rows of one component), one row per row of docs."""
     spark = docs.sparkSession
     bound_batches(spark)
@@ -146,13 +162,7 @@ def components(docs: DataFrame, likeness: float = 0.8, shingle: int = 5, most_sh
     texts = _with_row(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))).select("doc_id", ROW, "text")
     sketches, sketched = space.table(texts.mapInArrow(_sketches(shingle, likeness, _frequent(texts, shingle)), _SKETCH), "sketches")
     rows, _ = space.table(sketches.select("doc_id", ROW, "id"), "rows")
-    classes, _ = space.table(sketches.groupBy("id").agg(F.min(ROW).alias("sample"), F.min("size").alias("size"), F.min("parity").alias("parity")), "classes")
-
-    keyed = sketches.select("id", "size", "prefix").dropDuplicates(["id"]).select("id", "size", F.explode("prefix").alias("key"))
-    of_key = W.partitionBy("key")
-    shared = keyed.withColumn("n", F.count("*").over(of_key)).withColumn("least", F.min(F.struct("id", "size")).over(of_key)).where("n > 1").drop("n")
-    shared, _ = space.table(shared, "shared")
-    space.drop(sketched)
+    classes, _ = space.table(sketches.groupBy("id").agg(F.min(ROW).alias("sample"), F.min("fp").alias("fp"), F.min("size").alias("size"), F.min("parity").alias("parity")), "classes")
 
     def sized(a: str, b: str):
         return (F.col(a) >= F.col(b) * likeness - 1e-9) & (F.col(b) >= F.col(a) * likeness - 1e-9)
@@ -178,10 +188,21 @@ def components(docs: DataFrame, likeness: float = 0.8, shingle: int = 5, most_sh
         sets = held.mapInArrow(_sets(shingle), "src long, slice long, id long, hashes binary")
         return space.table(sets.groupBy("src", "slice").applyInArrow(_similar(likeness), "src long, dst long"), f"{label}-linked")[0]
 
-    star = shared.where((F.col("id") != F.col("least.id")) & sized("size", "least.size")).select(F.col("least.id").alias("src"), F.col("id").alias("dst")).distinct()
-    links = linked(star, "star")
-    joined = connected_components(links).withColumnRenamed("node", "id")
-    parts = shared.select("key", "id", "size").join(joined, "id", "left").withColumn("part", F.coalesce("component", "id"))
+    def parted(rows: DataFrame, links: DataFrame) -> DataFrame:
+        """rows (with id) and the part each belongs to by the links."""
+        return rows.join(connected_components(links).withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+
+    links = linked(_fingerprint_pairs(classes.select("id", "fp"), within), "simhash")
+
+    keyed = parted(sketches.select("id", "size", "prefix").dropDuplicates(["id"]), links).select("id", "size", "part", F.explode("prefix").alias("key"))
+    of_key = W.partitionBy("key")
+    shared = keyed.withColumn("n", F.count("*").over(of_key)).withColumn("least", F.min(F.struct("id", "size", "part")).over(of_key)).where("n > 1").drop("n")
+    shared, _ = space.table(shared, "shared")
+    space.drop(sketched)
+
+    star = shared.where((F.col("part") != F.col("least.part")) & sized("size", "least.size")).select(F.col("least.id").alias("src"), F.col("id").alias("dst")).distinct()
+    links = links.union(linked(star, "star"))
+    parts = parted(shared.select("key", "id", "size"), links)
     parts = parts.withColumn("low", F.min("part").over(of_key)).withColumn("high", F.max("part").over(of_key)).where("low < high")
     small = classes.select("id", _small(F.col("parity")).alias("small"))
     parts, _ = space.table(parts.select("key", "id", "size", "part").join(small, "id"), "parts")

@@ -47,7 +47,12 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
         ends = np.cumsum(sizes + 1) - 1
         first, last = (ends - sizes)[: 1 - shingle].tolist(), ends[shingle - 1 :].tolist()
         hashes = [xxh64_intdigest(line[a:b], SEED) for a, b in zip(first, last)]
-    bits = np.unpackbits(np.array(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return majority(np.array(hashes, "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The 64-bit fingerprint of 64-bit hashes (at least one): each bit that is set in over half of them."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     ones = bits.sum(0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
