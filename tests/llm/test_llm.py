@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -43,19 +44,20 @@ def test_encoder_equals_the_library():
         assert own.encode(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u2").tobytes(), repr(text)
 
 
-def test_encoder_is_shared_and_looks_each_word_up_once(monkeypatch):
+def test_encoder_tests_only_words_with_white_space(monkeypatch):
     from tokenizers import Tokenizer
 
     monkeypatch.setattr(token_shards, "_MEMO_ENTRIES", 60)
-    plain, own = Tokenizer.from_file(tokenizer_path()), token_shards.encoder(tokenizer_path(), "<u2")
-    assert token_shards.encoder(tokenizer_path(), "<u2") is own
-    asked = []
+    plain, own = Tokenizer.from_file(tokenizer_path()), token_shards.Encoder(tokenizer_path(), "<u2")
+    asked, tested, search = [], [], token_shards._RUN.search
+    monkeypatch.setattr(token_shards, "_RUN", SimpleNamespace(search=lambda x: (tested.append(x), search(x))[1]))
     monkeypatch.setattr(own, "_parts", lambda words, f=own._parts: (asked.extend(words), f(words))[1])
     rng = random.Random(5)
     groups = [[" ".join(rng.choice(["", "\n", "a\nb", "c\n\n\nd"]) if rng.random() < 0.04 else f"w{rng.randrange(40 * g, 40 * g + 40)}," for _ in range(30)) for _ in range(20)] for g in range(3)]
     for texts in [*groups, groups[-1]]:  # the memo overflows; odd words known from one group must still be seen in the next
         assert own.encode_all(texts) == [np.array(plain.encode(x, add_special_tokens=False).ids, "<u2").tobytes() for x in texts]
     assert len(own.memo) <= 100 and len(asked) == len(set(asked)) > 100
+    assert tested and all(x != x.strip() or len(x.split()) > 1 for x in tested)
 
 
 def test_encoder_takes_added_tokens_as_the_library_does():

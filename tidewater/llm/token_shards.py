@@ -13,7 +13,6 @@ hash of the text; an empty table gives no shard; other columns are not read.
 
 from __future__ import annotations
 
-import os
 import re
 import struct
 import zlib
@@ -35,8 +34,8 @@ MAGIC, TRAILER = b"TIDEIDS1", "TIDE-END"
 _HEAD = struct.Struct("<8sIQQQQqQ")
 #: Where the split at single spaces could divide a run of white space that the tokenizer takes as one piece.
 _RUN = re.compile(r"\s\s(?:\s|\Z)|[\x1c-\x1f]")
-#: Words remembered by each Python worker, characters of text encoded together, and words in one call of the tokenizer.
-_MEMO_ENTRIES, _GROUP_CHARS, _CALL_WORDS = 1_000_000, 1 << 22, 50
+#: Words remembered by each task, characters of text encoded together, and words in one call of the tokenizer.
+_MEMO_ENTRIES, _GROUP_CHARS, _CALL_WORDS = 400_000, 1 << 22, 50
 
 
 class Encoder:
@@ -123,19 +122,6 @@ class Encoder:
         return self.encode_all([text])[0]
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
-
-
-def encoder(path: str, dtype: str) -> Encoder:
-    """The process's encoder of a tokenizer file: tasks that follow one another in a Python worker share its words."""
-    state = os.stat(path)
-    key = (path, state.st_mtime_ns, state.st_size, dtype)
-    if key not in _ENCODERS:
-        _ENCODERS.clear()  # one at a time
-        _ENCODERS[key] = Encoder(path, dtype)
-    return _ENCODERS[key]
-
-
 def _groups(batches):
     """(doc_ids, texts) of the rows in order, about _GROUP_CHARS characters at a time."""
     ids, texts, chars = [], [], 0
@@ -168,7 +154,7 @@ def write_token_shards(
     end = np.array([end_id], dtype).tobytes()
 
     def run(batches):
-        encode_all, part = encoder(tokenizer, dtype).encode_all, TaskContext.get().partitionId()
+        encode_all, part = Encoder(tokenizer, dtype).encode_all, TaskContext.get().partitionId()
         seq, total, ids, ends, data = 0, 0, [], [], []
         for held, texts in _groups(batches):
             for doc_id, one in zip(held, encode_all(texts)):
